@@ -1,4 +1,4 @@
-"""Entropy arithmetic as column expressions."""
+"""Entropy arithmetic as SQL text: one call to the JVM per expression, however long it is."""
 
 from __future__ import annotations
 
@@ -6,34 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def log2(x: Column) -> Column:
+def log2(x: str) -> str:
     """Base-2 logarithm through base 10, with 0 at 0."""
-    return F.when(x == 0.0, F.lit(0.0)).otherwise(F.log10(x) / F.log10(F.lit(2.0)))
+    return f"CASE WHEN {x} = 0.0D THEN 0.0D ELSE log10({x}) / log10(2.0D) END"
 
 
-def entropy_term(p: Column) -> Column:
-    return -p * log2(p)
+def entropy_term(p: str) -> str:
+    return f"(-{p} * {log2(p)})"
 
 
-def share(part: Column, whole: Column) -> Column:
+def share(part: str, whole: str) -> str:
     """``part / whole`` with 0 for an empty whole."""
-    return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
+    return f"(CASE WHEN {whole} > 0 THEN CAST({part} AS DOUBLE) / {whole} ELSE 0.0D END)"
 
 
-def binary_entropy(a: Column, b: Column) -> Column:
-    """Entropy in bits of a group holding ``a`` and ``b`` rows of the two classes."""
-    return entropy_term(share(a, a + b)) + entropy_term(share(b, a + b))
-
-
-def class_entropy(n0: Column, n1: Column, digits: int | None = 4) -> Column:
+def class_entropy(n0: str, n1: str, digits: int | None = 4) -> str:
     """Absolute entropy of a node, rounded half up as the stop rule and the gain expect it."""
-    value = F.abs(binary_entropy(n0, n1))
-    return value if digits is None else F.round(value, digits)
+    whole = f"({n0} + {n1})"
+    value = f"abs({entropy_term(share(n0, whole))} + {entropy_term(share(n1, whole))})"
+    return value if digits is None else f"round({value}, {digits})"
 
 
-def majority(n0: Column, n1: Column) -> Column:
+def majority(n0: str, n1: str) -> str:
     """Majority class; a tie or an empty node gives 1."""
-    return F.when(n0 > n1, F.lit(0)).otherwise(F.lit(1))
+    return f"CASE WHEN {n0} > {n1} THEN 0 ELSE 1 END"
 
 
 def unit_hash(*parts: Column | str) -> Column:

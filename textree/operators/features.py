@@ -192,12 +192,12 @@ def sparse_matrix(
 ) -> Matrix:
     """From (id, feature, value) and (id, y): one shuffle brings each row's non-zero values together.
 
-    A row holds at most one entry per feature, as a row of the wide table would; rows of ``labels``
-    without values get an empty map.
+    A row holds at most one entry per feature, as a row of the wide table would. NULL counts as 0.0, and
+    rows of ``labels`` without values get an empty map.
     """
-    cell = F.struct(F.col(feature_col), F.coalesce(F.col(value_col).cast("double"), F.lit(0.0)))
+    cell = F.struct(F.col(feature_col), F.col(value_col).cast("double"))
     maps = (
-        values.filter((F.col(value_col) != 0.0) | F.col(value_col).isNull())
+        values.filter(F.col(value_col) != 0.0)
         .groupBy(id_col)
         .agg(F.map_from_entries(F.collect_list(cell)).alias("x"))
     )

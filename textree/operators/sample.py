@@ -47,6 +47,30 @@ def train_test(
     return df.filter(drawn), df.filter(~drawn)
 
 
-def rest_of(df: DataFrame, taken: DataFrame) -> DataFrame:
-    """Multiset difference for rows without an id. ``taken`` must be stored if it was drawn at random."""
-    return df.exceptAll(taken)
+COPIES = 1000
+
+
+def rest_of(df: DataFrame, taken: DataFrame, copies: int = COPIES) -> DataFrame:
+    """Multiset difference for rows without an id. ``taken`` must be stored if it was drawn at random.
+
+    Equal rows are counted, not moved. A row that is left many times is written out by many tasks, each
+    making at most ``copies`` of it, so a group of copies of any size is no heavier than another.
+    """
+    sign = "_n"
+    counted = (
+        df.withColumn(sign, F.lit(1))
+        .unionByName(taken.withColumn(sign, F.lit(-1)))
+        .groupBy(*[f"`{c}`" for c in df.columns])
+        .agg(F.sum(sign).alias(sign))
+        .filter(f"{sign} > 0")
+    )
+    few = counted.filter(f"{sign} <= {copies}")
+    many = (
+        counted.filter(f"{sign} > {copies}")
+        .withColumn("_start", F.explode(F.expr(f"sequence(0L, {sign} - 1, {copies}L)")))
+        .repartition(F.expr("_start"), *[f"`{c}`" for c in df.columns])
+        .withColumn(sign, F.least(F.lit(copies).cast("long"), F.col(sign) - F.col("_start")))
+        .drop("_start")
+    )
+    repeated = few.unionByName(many).withColumn("_copy", F.explode(F.expr(f"sequence(1L, {sign})")))
+    return repeated.select(*[f"`{c}`" for c in df.columns])

@@ -6,6 +6,8 @@ with ``entropy`` added by ``node_stats``; ``candidates`` (node_id, feature, spli
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,10 +26,8 @@ def class_counts(df: DataFrame, label: str = "y") -> DataFrame:
 
 def node_stats(nodes: DataFrame, entropy_digits: int | None = 4) -> DataFrame:
     """Entropy and majority class of each node."""
-    n0, n1 = F.col("n0"), F.col("n1")
-    return nodes.withColumns(
-        {"entropy": class_entropy(n0, n1, entropy_digits), "majority": majority(n0, n1)}
-    )
+    entropy = class_entropy("n0", "n1", entropy_digits)
+    return nodes.selectExpr("*", f"{entropy} AS entropy", f"{majority('n0', 'n1')} AS majority")
 
 
 def long_rows(rows: DataFrame, sparse: bool) -> DataFrame:
@@ -39,21 +39,14 @@ def long_rows(rows: DataFrame, sparse: bool) -> DataFrame:
 
 def histogram(long: DataFrame) -> DataFrame:
     """Class counts per (node, feature, value), combined inside each task first."""
-    return long.groupBy(*GROUP, "value").agg(
-        F.sum(F.lit(1) - F.col("y")).alias("n0"), F.sum("y").alias("n1")
-    )
+    return long.groupBy(*GROUP, "value").agg(F.expr("sum(1 - y) AS n0"), F.expr("sum(y) AS n1"))
 
 
 def with_zero_bins(hist: DataFrame, nodes: DataFrame, nodes_bytes: int | None = None) -> DataFrame:
     """Add the bin of the rows that store no value: node totals less the stored ones, where any are left."""
-    stored = hist.groupBy(*GROUP).agg(F.sum("n0").alias("s0"), F.sum("n1").alias("s1"))
+    stored = hist.groupBy(*GROUP).agg(F.expr("sum(n0) AS s0"), F.expr("sum(n1) AS s1"))
     zeros = join_small(stored, nodes.select("node_id", "n0", "n1"), ["node_id"], "inner", GROUP, nodes_bytes)
-    zeros = zeros.select(
-        *GROUP,
-        F.lit(0.0).alias("value"),
-        (F.col("n0") - F.col("s0")).alias("n0"),
-        (F.col("n1") - F.col("s1")).alias("n1"),
-    )
+    zeros = zeros.selectExpr(*GROUP, "0.0D AS value", "n0 - s0 AS n0", "n1 - s1 AS n1")
     return hist.unionByName(zeros.filter("n0 + n1 > 0"))
 
 
@@ -70,28 +63,27 @@ def _left_side(table: DataFrame) -> DataFrame:
     A midpoint that rounds down to ``value`` itself leaves that bin on the right. One that is not finite
     would leave one side empty and is dropped.
     """
-    split = (F.col("value") + F.col("next_value")) / 2.0
-    above = split > F.col("value")
-    left = table.select(
+    split = "(value + next_value) / 2.0D"
+    left = table.selectExpr(
         *GROUP,
-        split.alias("split"),
-        F.when(above, F.col("run0")).otherwise(F.col("run0") - F.col("n0")).alias("l0"),
-        F.when(above, F.col("run1")).otherwise(F.col("run1") - F.col("n1")).alias("l1"),
+        f"{split} AS split",
+        f"CASE WHEN {split} > value THEN run0 ELSE run0 - n0 END AS l0",
+        f"CASE WHEN {split} > value THEN run1 ELSE run1 - n1 END AS l1",
     )
-    return left.filter(F.abs("split") < float("inf"))
+    return left.filter(f"abs(split) <= {sys.float_info.max!r}D")
 
 
 def _running(hist: DataFrame, by: list[str]) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy("value")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return hist.select(
+    order = f"(PARTITION BY {', '.join(by)} ORDER BY value)"
+    upto = order.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    return hist.selectExpr(
         *by,
         "value",
         "n0",
         "n1",
-        F.lead("value").over(order).alias("next_value"),
-        F.sum("n0").over(upto).alias("run0"),
-        F.sum("n1").over(upto).alias("run1"),
+        f"lead(value) OVER {order} AS next_value",
+        f"sum(n0) OVER {upto} AS run0",
+        f"sum(n1) OVER {upto} AS run1",
     )
 
 
@@ -112,26 +104,29 @@ def left_counts_ranged(hist: DataFrame, parts: int | None = None) -> DataFrame:
     ranged = hist.repartitionByRange(parts, *keys) if parts else hist.repartitionByRange(*keys)
     # stored, because both uses below must see the same cut
     pieces = store(ranged.withColumn("piece", F.spark_partition_id()), "pieces").df
-    order = Window.partitionBy(*GROUP).orderBy("piece")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    order = "(PARTITION BY node_id, feature ORDER BY piece)"
+    before = order.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     edges = (
         pieces.groupBy(*by)
         .agg(F.sum("n0").alias("p0"), F.sum("n1").alias("p1"), F.min("value").alias("first_value"))
-        .select(
+        .selectExpr(
             *by,
-            F.coalesce(F.sum("p0").over(before), F.lit(0)).alias("before0"),
-            F.coalesce(F.sum("p1").over(before), F.lit(0)).alias("before1"),
-            F.lead("first_value").over(order).alias("after_value"),
+            f"coalesce(sum(p0) OVER {before}, 0) AS before0",
+            f"coalesce(sum(p1) OVER {before}, 0) AS before1",
+            f"lead(first_value) OVER {order} AS after_value",
         )
     )
-    whole = _running(pieces, by).join(edges, by)
     return _left_side(
-        whole.withColumns(
-            {
-                "next_value": F.coalesce("next_value", "after_value"),
-                "run0": F.col("run0") + F.col("before0"),
-                "run1": F.col("run1") + F.col("before1"),
-            }
+        _running(pieces, by)
+        .join(edges, by)
+        .selectExpr(
+            *GROUP,
+            "value",
+            "n0",
+            "n1",
+            "coalesce(next_value, after_value) AS next_value",
+            "run0 + before0 AS run0",
+            "run1 + before1 AS run1",
         )
     )
 
@@ -146,15 +141,7 @@ def candidates(left: DataFrame, nodes: DataFrame, nodes_bytes: int | None = None
     """Counts on both sides of each midpoint: the right side is what the node has beyond the left."""
     totals = nodes.select("node_id", "n0", "n1", "entropy")
     sides = join_small(left, totals, ["node_id"], "inner", [*GROUP, "split"], nodes_bytes)
-    return sides.select(
-        *GROUP,
-        "split",
-        "l0",
-        "l1",
-        (F.col("n0") - F.col("l0")).alias("r0"),
-        (F.col("n1") - F.col("l1")).alias("r1"),
-        "entropy",
-    )
+    return sides.selectExpr(*GROUP, "split", "l0", "l1", "n0 - l0 AS r0", "n1 - l1 AS r1", "entropy")
 
 
 def gain_ratio(cands: DataFrame, min_side: int = 100) -> DataFrame:
@@ -163,24 +150,23 @@ def gain_ratio(cands: DataFrame, min_side: int = 100) -> DataFrame:
     ``entropy`` comes with the node and is rounded there; the information of the sides is not. The shares
     are columns of their own so that each is computed once and the generated code stays small.
     """
-    left, right = F.col("l0") + F.col("l1"), F.col("r0") + F.col("r1")
-    allowed = cands.filter((left > min_side) & (right > min_side)).withColumns(
-        {"_l": left.cast("double"), "_r": right.cast("double")}
+    allowed = cands.filter(f"l0 + l1 > {min_side} AND r0 + r1 > {min_side}").selectExpr(
+        "*", "CAST(l0 + l1 AS DOUBLE) AS _l", "CAST(r0 + r1 AS DOUBLE) AS _r"
     )
-    shares = allowed.withColumns(
-        {
-            "_l0": F.col("l0") / F.col("_l"),
-            "_l1": F.col("l1") / F.col("_l"),
-            "_r0": F.col("r0") / F.col("_r"),
-            "_r1": F.col("r1") / F.col("_r"),
-            "_pl": F.col("_l") / (F.col("_l") + F.col("_r")),
-            "_pr": F.col("_r") / (F.col("_l") + F.col("_r")),
-        }
+    shares = allowed.selectExpr(
+        "*",
+        "l0 / _l AS _l0",
+        "l1 / _l AS _l1",
+        "r0 / _r AS _r0",
+        "r1 / _r AS _r1",
+        "_l / (_l + _r) AS _pl",
+        "_r / (_l + _r) AS _pr",
     )
-    terms = {c: entropy_term(F.col(c)) for c in ("_l0", "_l1", "_r0", "_r1", "_pl", "_pr")}
-    info = F.col("_pl") * (terms["_l0"] + terms["_l1"]) + F.col("_pr") * (terms["_r0"] + terms["_r1"])
-    ratio = F.try_divide(F.col("entropy") - info, terms["_pl"] + terms["_pr"])
-    return shares.select(*cands.columns, ratio.alias("gain_ratio")).drop("entropy")
+    left = f"_pl * ({entropy_term('_l0')} + {entropy_term('_l1')})"
+    right = f"_pr * ({entropy_term('_r0')} + {entropy_term('_r1')})"
+    ratio = f"try_divide(entropy - ({left} + {right}), {entropy_term('_pl')} + {entropy_term('_pr')})"
+    kept = [c for c in cands.columns if c != "entropy"]
+    return shares.selectExpr(*kept, f"{ratio} AS gain_ratio")
 
 
 def best(gains: DataFrame, gain_digits: int | None = None) -> DataFrame:
@@ -189,8 +175,7 @@ def best(gains: DataFrame, gain_digits: int | None = None) -> DataFrame:
     A minimum over structs is combined inside each task, so a node with most of the candidates is no
     heavier than any other. ``gain_digits`` rounds the ratio before it is compared.
     """
-    ratio = F.col("gain_ratio")
-    rank = -(ratio if gain_digits is None else F.round(ratio, gain_digits))
+    rank = "-gain_ratio" if gain_digits is None else f"-round(gain_ratio, {gain_digits})"
     rest = [c for c in gains.columns if c not in ("node_id", "feature", "split")]
-    first = F.min(F.struct(rank.alias("rank"), "feature", "split", *rest)).alias("b")
-    return gains.groupBy("node_id").agg(first).select("node_id", "b.feature", "b.split", *[f"b.{c}" for c in rest])
+    first = f"min(struct({rank} AS rank, feature, split, {', '.join(rest)})) AS b"
+    return gains.groupBy("node_id").agg(F.expr(first)).select("node_id", "b.feature", "b.split", *[f"b.{c}" for c in rest])

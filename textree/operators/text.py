@@ -51,8 +51,12 @@ def tokenize(df: DataFrame, text_col: str, out_col: str = "tokens") -> DataFrame
 
 
 def token_rows(df: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
-    """Long form: one row per token with its place in the document."""
-    return df.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
+    """Long form: one row per token with its place in the document.
+
+    The outer form keeps the optimizer from computing the array once more to filter out empty ones.
+    """
+    rows = df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "token"))
+    return rows.filter("token IS NOT NULL")
 
 
 def remove_stopwords(tokens: DataFrame, words: Iterable[str] = ENGLISH, token_col: str = "token") -> DataFrame:

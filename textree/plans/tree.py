@@ -6,9 +6,11 @@ left_id (value < split), right_id, label (leaves only), n0, n1.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textree.functions.numeric import class_entropy, majority
@@ -18,33 +20,82 @@ from textree.operators.joins import BROADCAST_BYTES, join_small, size_in_bytes
 from textree.storage import Stored, store
 
 ENTROPY_STOP = 0.3
-# Winners of one level that may be numbered by a single task.
+# Nodes of one level whose splits may pass through the driver.
+LOCAL_NODES = 1000
+# Nodes of one level that may be numbered by a single task.
 NUMBER_ROWS = 1_000_000
 # Nodes up to which scoring is one nested CASE expression.
 CASE_NODES = 200
 # Level joins that may pile up in one plan before the rows are stored again.
 PLAN_LEVELS = 6
 
-WINNER_SCHEMA = (
-    "node_id long, depth int, feature string, split double, l0 long, l1 long, r0 long, r1 long, "
-    "left_id long, right_id long, left_open boolean, right_open boolean"
+WINNERS = pa.schema(
+    [
+        ("node_id", pa.int64()),
+        ("depth", pa.int32()),
+        ("feature", pa.string()),
+        ("split", pa.float64()),
+        ("l0", pa.int64()),
+        ("l1", pa.int64()),
+        ("r0", pa.int64()),
+        ("r1", pa.int64()),
+        ("left_open", pa.bool_()),
+        ("right_open", pa.bool_()),
+        ("left_id", pa.int64()),
+        ("right_id", pa.int64()),
+    ]
 )
 
 
-def _check_root(rows: DataFrame, sparse: bool) -> tuple[int, int]:
-    """Class totals, after refusing other labels and NaN features."""
-    values = F.map_values("x") if sparse else F.col("x")
-    found = rows.agg(
-        F.count(F.when(F.col("y") == 0, 1)).alias("n0"),
-        F.count(F.when(F.col("y") == 1, 1)).alias("n1"),
-        F.count(F.when(~F.col("y").isin(0, 1), 1)).alias("bad"),
-        F.count(F.when(F.exists(values, F.isnan), 1)).alias("nan"),
-    ).first()
+@dataclass(frozen=True)
+class Rule:
+    """When a node stays open and which splits it may take."""
+
+    max_depth: int
+    min_side: int
+    entropy_stop: float
+    entropy_digits: int | None
+    gain_digits: int | None
+    max_group: int
+
+    def opens(self, n0: str, n1: str, depth: int) -> str:
+        if depth >= self.max_depth:
+            return "false"
+        return f"{class_entropy(n0, n1, self.entropy_digits)} > {self.entropy_stop!r}D"
+
+
+@dataclass(frozen=True)
+class Level:
+    """The splits of one depth, and what the next depth needs to know about them."""
+
+    winners: DataFrame
+    n_splits: int
+    n_open: int
+    biggest: int
+    active: int
+    winners_bytes: int
+    rows: list[dict]
+    stored: Stored | None
+
+
+def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bool]:
+    """Class totals and whether the root is open, after refusing other labels and NaN features."""
+    values = "map_values(x)" if sparse else "x"
+    found = (
+        rows.selectExpr(
+            "count_if(y = 0) AS n0",
+            "count_if(y = 1) AS n1",
+            "count_if(y NOT IN (0, 1)) AS bad",
+            f"count_if(exists({values}, v -> isnan(v))) AS nan",
+        )
+        .selectExpr("*", f"{rule.opens('n0', 'n1', 0)} AS open")
+        .first()
+    )
     if found["bad"]:
         raise ValueError(f"{found['bad']} rows have a label that is neither 0 nor 1")
     if found["nan"]:
         raise ValueError(f"{found['nan']} rows hold a NaN feature")
-    return found["n0"], found["n1"]
+    return found["n0"], found["n1"], found["open"]
 
 
 def _store_spread(rows: DataFrame) -> Stored:
@@ -66,71 +117,97 @@ def _value_at(x: str, place: Column, sparse: bool) -> Column:
     return F.get(x, place)
 
 
-def _side_open(a: Column, b: Column, depth: int, max_depth: int, stop: float, digits: int | None) -> Column:
-    return (class_entropy(a, b, digits) > stop) & F.lit(depth < max_depth)
-
-
 def children(winners: DataFrame) -> DataFrame:
     """Both children of every split: (node_id, parent_id, depth, n0, n1, open)."""
 
-    def child(side: str) -> Column:
-        return F.struct(
-            F.col(f"{side}_id").alias("node_id"),
-            F.col("node_id").alias("parent_id"),
-            (F.col("depth") + 1).alias("depth"),
-            F.col(f"{side[0]}0").alias("n0"),
-            F.col(f"{side[0]}1").alias("n1"),
-            F.col(f"{side}_open").alias("open"),
+    def child(side: str) -> str:
+        return (
+            f"named_struct('node_id', {side}_id, 'parent_id', node_id, 'depth', depth + 1, "
+            f"'n0', {side[0]}0, 'n1', {side[0]}1, 'open', {side}_open)"
         )
 
-    return winners.select(F.inline(F.array(child("left"), child("right"))))
+    return winners.selectExpr(f"inline(array({child('left')}, {child('right')}))")
 
 
-def route(rows: DataFrame, winners: DataFrame, sparse: bool, names=None, winners_bytes: int | None = None):
+def route(
+    rows: DataFrame, winners: DataFrame, names: tuple[str, ...] | None, winners_bytes: int | None = None
+) -> DataFrame:
     """Move the rows of split nodes to the children that stay open; all other rows are done."""
-    place = F.col("feature")
-    if not sparse:
-        place = (F.array_position(F.lit(list(names)), F.col("feature")) - 1).cast("int")
+    sparse = names is None
+    place = F.col("feature") if sparse else _place(names)
     steps = winners.select(
         "node_id", place.alias("place"), "split", "left_id", "right_id", "left_open", "right_open"
     )
     met = join_small(rows, steps, ["node_id"], "inner", ["salt"], winners_bytes)
     right = _value_at("x", F.col("place"), sparse) >= F.col("split")
-    moved = met.select(
-        F.when(right, F.col("right_id")).otherwise(F.col("left_id")).alias("node_id"),
-        "y",
-        "x",
-        "salt",
-        F.when(right, F.col("right_open")).otherwise(F.col("left_open")).alias("_open"),
+    return (
+        met.withColumn("_right", right)
+        .filter("CASE WHEN _right THEN right_open ELSE left_open END")
+        .selectExpr("CASE WHEN _right THEN right_id ELSE left_id END AS node_id", "y", "x", "salt")
     )
-    return moved.filter("_open").drop("_open")
 
 
-def level_winners(
-    rows: DataFrame,
-    nodes: DataFrame,
-    n_nodes: int,
-    biggest: int,
-    sparse: bool,
-    min_side: int,
-    gain_digits: int | None,
-    max_group: int,
-) -> tuple[DataFrame, list[Stored]]:
-    """The best split of every open node, and what was stored on the way."""
-    used: list[Stored] = []
+def _place(names: Sequence[str]) -> Column:
+    """Place of a feature in a dense row."""
+    return (F.array_position(F.lit(list(names)), F.col("feature")) - 1).cast("int")
+
+
+def best_splits(
+    rows: DataFrame, nodes: DataFrame, n_nodes: int, biggest: int, sparse: bool, rule: Rule
+) -> tuple[DataFrame, Stored | None]:
+    """The best split of every open node; the histogram too, if it had to be stored."""
     nodes_bytes = n_nodes * sp.NODE_BYTES
     hist = sp.histogram(sp.long_rows(rows, sparse))
     if sparse:
         hist = sp.with_zero_bins(hist, nodes, nodes_bytes)
-    ranged = False
+    kept, ranged = None, False
     # a group has no more values than its node has rows, so small nodes need no look
-    if biggest > max_group:
-        used.append(store(hist, "hist"))
-        hist = used[0].df
-        ranged = sp.largest_group(hist) > max_group
+    if biggest > rule.max_group:
+        kept = store(hist, "hist")
+        hist = kept.df
+        ranged = sp.largest_group(hist) > rule.max_group
     left = sp.left_counts_ranged(hist) if ranged else sp.left_counts(hist)
-    gains = sp.gain_ratio(sp.candidates(left, nodes, nodes_bytes), min_side)
-    return sp.best(gains, gain_digits), used
+    gains = sp.gain_ratio(sp.candidates(left, nodes, nodes_bytes), rule.min_side)
+    return sp.best(gains, rule.gain_digits), kept
+
+
+def _local_level(spark: SparkSession, found: DataFrame, next_id: int) -> Level:
+    """Number the few splits of a small level on the driver and keep them as literal rows."""
+    rows = [r.asDict() for r in found.collect()]
+    rows.sort(key=lambda r: r["node_id"])
+    sizes = []
+    for slot, row in enumerate(rows):
+        row["left_id"], row["right_id"] = next_id + 2 * slot, next_id + 2 * slot + 1
+        for side in ("left", "right"):
+            if row[f"{side}_open"]:
+                sizes.append(row[f"{side[0]}0"] + row[f"{side[0]}1"])
+    table = pa.Table.from_pylist(rows, WINNERS)
+    return Level(
+        spark.createDataFrame(table), len(rows), len(sizes), max(sizes, default=0), sum(sizes), table.nbytes, rows, None
+    )
+
+
+def _stored_level(found: DataFrame, n_nodes: int, next_id: int) -> Level:
+    """Number the splits of a large level in Spark and store them."""
+    kept = None
+    if n_nodes <= NUMBER_ROWS:
+        numbered = found.selectExpr("*", "CAST(row_number() OVER (ORDER BY node_id) AS BIGINT) AS slot")
+    else:
+        kept = store(found, "best")
+        numbered = add_row_id(kept.df, ["node_id"], "slot")
+    ids = (f"2 * slot + {next_id - 2} AS left_id", f"2 * slot + {next_id - 1} AS right_id")
+    level = store(numbered.selectExpr(*found.columns, *ids), "level")
+    if kept:
+        kept.release()
+    left, right = "CASE WHEN left_open THEN l0 + l1 END", "CASE WHEN right_open THEN r0 + r1 END"
+    seen = level.df.selectExpr(
+        "count(*) AS n",
+        f"count({left}) + count({right}) AS n_open",
+        f"coalesce(greatest(max({left}), max({right})), 0) AS biggest",
+        f"coalesce(sum({left}), 0) + coalesce(sum({right}), 0) AS active",
+        "coalesce(sum(octet_length(feature) + 96), 0) AS bytes",
+    ).first()
+    return Level(level.df, seen["n"], seen["n_open"], seen["biggest"], seen["active"], seen["bytes"], [], level)
 
 
 def fit(
@@ -142,102 +219,83 @@ def fit(
     gain_digits: int | None = None,
     max_group: int = sp.MAX_GROUP,
     plan_levels: int = PLAN_LEVELS,
+    local_nodes: int = LOCAL_NODES,
 ) -> DataFrame:
     """Grow the tree: one job per depth for all its nodes.
 
     Each row carries its features and the node it is in, so no level shuffles rows: only histogram bins
     and one line per node travel. A node becomes a leaf when its entropy is at most ``entropy_stop``, at
-    ``max_depth``, or when no split leaves more than ``min_side`` rows on each side.
+    ``max_depth``, or when no split leaves more than ``min_side`` rows on each side. Levels of up to
+    ``local_nodes`` nodes hand their splits to the driver; larger ones stay tables.
     """
     if min_side < 0:
         raise ValueError("min_side must not be negative")
-    spark, sparse, names = matrix.rows.sparkSession, matrix.sparse, matrix.names
+    rule = Rule(max_depth, min_side, entropy_stop, entropy_digits, gain_digits, max_group)
+    spark, names = matrix.rows.sparkSession, matrix.names
     salt = F.monotonically_increasing_id().alias("salt")
     rows_at = _store_spread(matrix.rows.select("y", "x").dropna(subset=["y"]).select("y", "x", salt))
-    n0, n1 = _check_root(rows_at.df, sparse)
+    n0, n1, is_open = _check_root(rows_at.df, matrix.sparse, rule)
     rows = rows_at.df.withColumn("node_id", F.lit(1).cast("long"))
-    root = spark.range(1).select(
-        F.lit(1).cast("long").alias("node_id"),
-        F.lit(n0).cast("long").alias("n0"),
-        F.lit(n1).cast("long").alias("n1"),
-    )
-    nodes = sp.node_stats(root, entropy_digits)
-    is_open = root.select(_side_open(F.col("n0"), F.col("n1"), 0, max_depth, entropy_stop, entropy_digits))
-    n_nodes, biggest, stored_rows, active = int(is_open.first()[0]), n0 + n1, n0 + n1, n0 + n1
+    root = pa.table({"node_id": [1], "n0": [n0], "n1": [n1]})
+    nodes = sp.node_stats(spark.createDataFrame(root), entropy_digits)
+    n_nodes, biggest, stored_rows = int(is_open), n0 + n1, n0 + n1
     depth, next_id, piled, levels = 0, 2, 0, []
 
     while n_nodes:
-        found, used = level_winners(
-            rows, nodes, n_nodes, biggest, sparse, min_side, gain_digits, max_group
-        )
-        if n_nodes <= NUMBER_ROWS:
-            slot = F.row_number().over(Window.orderBy("node_id")).cast("long")
-            found = found.withColumn("slot", slot)
-        else:
-            used.append(store(found, "best"))
-            found = add_row_id(used[-1].df, ["node_id"], "slot")
-        feature = F.col("feature") if sparse else F.element_at(F.lit(list(names)), F.col("feature") + 1)
-        l0, l1, r0, r1 = (F.col(c) for c in ("l0", "l1", "r0", "r1"))
-        rule = (depth + 1, max_depth, entropy_stop, entropy_digits)
-        winners = found.select(
+        found, kept = best_splits(rows, nodes, n_nodes, biggest, matrix.sparse, rule)
+        if not matrix.sparse:
+            found = found.withColumn("feature", F.element_at(F.lit(list(names)), F.col("feature") + 1))
+        found = found.selectExpr(
             "node_id",
-            F.lit(depth).alias("depth"),
-            feature.alias("feature"),
+            f"{depth} AS depth",
+            "feature",
             "split",
             "l0",
             "l1",
             "r0",
             "r1",
-            (F.col("slot") * 2 + (next_id - 2)).alias("left_id"),
-            (F.col("slot") * 2 + (next_id - 1)).alias("right_id"),
-            _side_open(l0, l1, *rule).alias("left_open"),
-            _side_open(r0, r1, *rule).alias("right_open"),
+            f"{rule.opens('l0', 'l1', depth + 1)} AS left_open",
+            f"{rule.opens('r0', 'r1', depth + 1)} AS right_open",
         )
-        level = store(winners, "level")
+        if n_nodes <= local_nodes:
+            level = _local_level(spark, found, next_id)
+        else:
+            level = _stored_level(found, n_nodes, next_id)
+        if kept:
+            kept.release()
         levels.append(level)
-        for part in used:
-            part.release()
-        left, right = F.when(F.col("left_open"), l0 + l1), F.when(F.col("right_open"), r0 + r1)
-        seen = level.df.agg(
-            F.count("*").alias("n"),
-            (F.count(left) + F.count(right)).alias("open"),
-            F.coalesce(F.sum(left), F.lit(0)).alias("left_rows"),
-            F.coalesce(F.sum(right), F.lit(0)).alias("right_rows"),
-            F.greatest(F.max(left), F.max(right)).alias("biggest"),
-            F.coalesce(F.sum(F.octet_length("feature") + F.lit(96)), F.lit(0)).alias("bytes"),
-        ).first()
-        n_nodes, biggest = seen["open"], seen["biggest"] or 0
-        active = seen["left_rows"] + seen["right_rows"]
-        next_id += 2 * seen["n"]
+        n_nodes, biggest = level.n_open, level.biggest
+        next_id += 2 * level.n_splits
         depth += 1
         if not n_nodes:
             break
-        nodes = sp.node_stats(children(level.df).filter("open"), entropy_digits)
-        rows = route(rows, level.df, sparse, names, seen["bytes"])
+        nodes = sp.node_stats(children(level.winners).filter("open"), entropy_digits)
+        rows = route(rows, level.winners, names, level.winners_bytes)
         piled += 1
-        if piled >= plan_levels or active * 2 <= stored_rows:
+        if piled >= plan_levels or level.active * 2 <= stored_rows:
             fresh = store(rows.select("y", "x", "salt", "node_id"), "rows")
             rows_at.release()
-            rows_at, rows, stored_rows, piled = fresh, fresh.df, active, 0
+            rows_at, rows, stored_rows, piled = fresh, fresh.df, level.active, 0
 
     rows_at.release()
     tree = store(_assemble(spark, n0, n1, levels), "tree").df
     for level in levels:
-        level.release()
+        if level.stored:
+            level.stored.release()
     return tree
 
 
-def _assemble(spark: SparkSession, n0: int, n1: int, levels: list[Stored]) -> DataFrame:
+def _assemble(spark: SparkSession, n0: int, n1: int, levels: list[Level]) -> DataFrame:
     """One table from the splits of all levels; a child that was not split is a leaf."""
-    if levels:
-        winners = spark.read.schema(WINNER_SCHEMA).parquet(*[level.path for level in levels])
-    else:
-        winners = spark.createDataFrame([], WINNER_SCHEMA)
-    root = spark.createDataFrame([(1, None, 0, n0, n1)], "node_id long, parent_id long, depth int, n0 long, n1 long")
+    local = pa.Table.from_pylist([row for level in levels for row in level.rows], WINNERS)
+    winners = spark.createDataFrame(local)
+    paths = [level.stored.path for level in levels if level.stored]
+    if paths:
+        winners = winners.unionByName(spark.read.schema(winners.schema).parquet(*paths))
+    root = spark.sql(f"SELECT 1L AS node_id, CAST(NULL AS BIGINT) AS parent_id, 0 AS depth, {n0}L AS n0, {n1}L AS n1")
     nodes = root.unionByName(children(winners).drop("open"))
     steps = winners.select("node_id", "feature", "split", "left_id", "right_id")
-    label = F.when(F.col("feature").isNull(), majority(F.col("n0"), F.col("n1")))
-    return nodes.join(steps, "node_id", "left").select(
+    return nodes.join(steps, "node_id", "left").selectExpr(
         "node_id",
         "parent_id",
         "depth",
@@ -245,7 +303,7 @@ def _assemble(spark: SparkSession, n0: int, n1: int, levels: list[Stored]) -> Da
         "split",
         "left_id",
         "right_id",
-        label.cast("int").alias("label"),
+        f"CASE WHEN feature IS NULL THEN {majority('n0', 'n1')} END AS label",
         "n0",
         "n1",
     )
@@ -330,9 +388,8 @@ def predict(
     used = {r[0] for r in tree.filter("feature IS NOT NULL").select("feature").distinct().collect()}
     names = [c for c in columns if c in used]
     values = F.array(*[F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)) for n in names])
-    place = (F.array_position(F.lit(names), F.col("feature")) - 1).cast("int")
     rows = df.withColumn("_x", values)
-    scored = _walk(rows, tree, place, False, boundary, plan_levels, limit, "_x")
+    scored = _walk(rows, tree, _place(names), False, boundary, plan_levels, limit, "_x")
     return scored.select(*[f"`{c}`" for c in columns], F.col("_label").alias(out_col))
 
 
@@ -355,9 +412,7 @@ def predict_matrix(
             return _value_at("x", place, matrix.sparse)
 
         return rows.withColumn(out_col, case_expression(nodes, value_of, boundary)).drop("x")
-    place = F.col("feature")
-    if not matrix.sparse:
-        place = (F.array_position(F.lit(list(names)), F.col("feature")) - 1).cast("int")
+    place = F.col("feature") if matrix.sparse else _place(names)
     scored = _walk(rows, tree, place, matrix.sparse, boundary, plan_levels, limit)
     return scored.withColumnRenamed("_label", out_col).drop("x")
 
