@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -69,3 +70,15 @@ def stem_column(token: Column) -> Column:
             yield batch.map(porter.stem, na_action="ignore")
 
     return stems(token)
+
+
+def stem_array(tokens: Column) -> Column:
+    """Stems of an array column, in place; each task remembers the words it has met."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = lru_cache(maxsize=200_000)(porter.stem)
+        for batch in batches:
+            yield batch.map(lambda words: [known(w) for w in words], na_action="ignore")
+
+    return stems(tokens)

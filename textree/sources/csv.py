@@ -55,7 +55,10 @@ def read_feature_csv(spark: SparkSession, path: str | list[str], multi_line: boo
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Overwrite ``path``. Blanks at the ends of fields are kept; ``single_file`` is for small tables."""
+    """Overwrite ``path``. Blanks at the ends of fields are kept; an empty text reads back as NULL.
+
+    ``single_file`` is for small tables.
+    """
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").options(
         **_options(True), ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
