@@ -5,6 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textree.storage import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -31,7 +33,7 @@ def english_doc() -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def chain_sql(text: str) -> str:
@@ -58,7 +60,7 @@ LINE_ID = ["l_orderkey", "l_linenumber"]
 
 
 def lines(spark: SparkSession, sf_dir: str, features=FEATURES) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(*LINE_ID, *features, returned().alias("y"))
+    return spread(table(spark, sf_dir, "lineitem").select(*LINE_ID, *features, returned().alias("y")))
 
 
 LINES_SQL = f"SELECT l_orderkey, l_linenumber, l_discount, l_quantity, l_tax, {RETURNED_SQL} AS y FROM lineitem"

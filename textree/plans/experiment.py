@@ -11,9 +11,7 @@ from pyspark.sql import DataFrame
 from textree.operators import evaluate as ev
 from textree.operators import sample as sm
 from textree.operators.features import dense_matrix
-from textree.operators.split import class_counts
 from textree.plans import tree as tr
-from textree.storage import store
 
 
 class Run(NamedTuple):
@@ -36,12 +34,10 @@ def train_and_score(
     """Split a wide table, grow a tree on the balanced part, score the rest. ``df`` is read several times:
     store it first if it is costly."""
     train, test = sm.train_test(df, list(id_cols), label, share, salt)
-    train = store(train.select(*[f"`{c}`" for c in feature_cols], label), "train")
-    counts = {r["y"]: r["n_rows"] for r in class_counts(train.df, label).collect()}
     started = time.perf_counter()
-    tree = tr.fit(dense_matrix(train.df, feature_cols, label), **tree_options)
+    tree = tr.fit(dense_matrix(train, feature_cols, label), **tree_options)
     fit_ms = round((time.perf_counter() - started) * 1000)
-    train.release()
+    root = tree.filter("node_id = 1").first()
     scored = tr.predict(test, tree, boundary=boundary)
     scores = ev.metrics(ev.confusion(scored, label))
-    return Run(tree, scored, ev.report(scores, counts, fit_ms, old_names))
+    return Run(tree, scored, ev.report(scores, {0: root["n0"], 1: root["n1"]}, fit_ms, old_names))

@@ -17,7 +17,7 @@ from textree.functions.numeric import class_entropy, majority
 from textree.operators import split as sp
 from textree.operators.features import Matrix, add_row_id
 from textree.operators.joins import BROADCAST_BYTES, join_small, size_in_bytes
-from textree.storage import Stored, store
+from textree.storage import Stored, spread, store
 
 ENTROPY_STOP = 0.3
 # Nodes of one level whose splits may pass through the driver.
@@ -101,13 +101,12 @@ def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bo
 def _store_spread(rows: DataFrame) -> Stored:
     """Store the rows; a table in fewer pieces than there are cores is stored once more, in as many."""
     kept = store(rows, "rows")
-    cores = kept.df.sparkSession.sparkContext.defaultParallelism
-    # a scan alone: asking for its partitions runs nothing
-    if kept.df.rdd.getNumPartitions() >= cores:
+    wider = spread(kept.df)
+    if wider is kept.df:
         return kept
-    spread = store(kept.df.repartition(cores), "rows")
+    again = store(wider, "rows")
     kept.release()
-    return spread
+    return again
 
 
 def _value_at(x: str, place: Column, sparse: bool) -> Column:

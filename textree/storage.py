@@ -65,3 +65,13 @@ def store(df: DataFrame, name: str = "stage") -> Stored:
     path = new_path(spark, name)
     df.write.parquet(path)
     return Stored(spark.read.schema(df.schema).parquet(path), path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Round-robin repartitioning of a plain scan, only where it has fewer pieces than there are cores.
+
+    For scans alone: asking one for its partitions runs nothing, while a plan with shuffles would run them.
+    A table in many pieces is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
