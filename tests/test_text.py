@@ -1,6 +1,8 @@
 import pytest
 from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import functions as F
 
+from textree.functions import text as fn
 from textree.functions.porter import stem
 from textree.functions.stopwords import ENGLISH
 from textree.operators import text as tx
@@ -56,6 +58,14 @@ def test_unknown_mode(dirty):
         tx.clean(dirty, "title", mode="other")
 
 
+def test_punctuation_class_on_every_character(spark):
+    points = spark.range(1, 0x10000).filter("id NOT BETWEEN 55296 AND 57343")
+    chars = points.select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    same = F.regexp_replace("c", r"[^a-zA-Z0-9\s]", "") == fn.clean_last(F.col("c"))
+    assert chars.filter(~same).isEmpty()
+    assert chars.filter(fn.clean_last(F.col("c")) != "").count() == 62 + 6
+
+
 def test_drop_blank_rows(spark):
     df = spark.createDataFrame([("a", None), (" ", "\t"), (None, None)], "x string, y string")
     assert tx.drop_blank_rows(df).count() == 1

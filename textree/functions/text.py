@@ -16,14 +16,14 @@ from textree.functions import porter
 # the workers need not have the package installed
 cloudpickle.register_pickle_by_value(porter)
 
-# The patterns whose matches are removed or squeezed, in this order.
+# What is removed or squeezed, in this order.
 MENTION = "@[a-zA-Z0-9_]+"
 URL = r"\b(?:https?|ftp|com):\/\/\S+"
-NEWLINE = "\n"
-TAB = "\t"
-DIGITS = r"\d+"
+NEWLINE_TAB_DIGITS = "\n\t0123456789"
 BLANKS = r"\s+"
-PUNCTUATION = r"[^a-zA-Z0-9\s]"
+# Everything but ASCII letters, digits and whitespace. Written with \w because Java matches this form of the
+# class several times faster than one with ranges.
+PUNCTUATION = r"[_[^\w\s]]"
 
 # Label texts that count as positive, and the numerals that Spark's lenient cast reads as 1.
 POSITIVE_LABELS = ("fake", "FAKE")
@@ -31,12 +31,14 @@ NUMERAL_ONE = r"^\s*[+]?0*1([.][0-9]*)?\s*$"
 
 
 def clean_chain(text: Column) -> Column:
-    """All steps one after the other. Newlines and tabs vanish, so the words around them fuse."""
+    """All steps one after the other. Newlines and tabs vanish, so the words around them fuse.
+
+    Newlines, tabs and digits are single characters, so one character map removes all of them.
+    """
     out = F.lower(F.trim(text))
-    for pattern in (MENTION, URL, NEWLINE, TAB, DIGITS):
-        out = F.regexp_replace(out, pattern, "")
-    out = F.regexp_replace(out, BLANKS, " ")
-    return F.regexp_replace(out, PUNCTUATION, "")
+    out = F.regexp_replace(F.regexp_replace(out, MENTION, ""), URL, "")
+    out = F.translate(out, NEWLINE_TAB_DIGITS, "")
+    return F.regexp_replace(F.regexp_replace(out, BLANKS, " "), PUNCTUATION, "")
 
 
 def clean_last(text: Column) -> Column:
@@ -50,7 +52,7 @@ def not_blank(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Split by whitespace, without empty strings."""
-    return F.filter(F.split(text, BLANKS), lambda word: word != "")
+    return F.array_remove(F.split(text, BLANKS), "")
 
 
 def is_positive(column: str, dtype: T.DataType) -> Column:

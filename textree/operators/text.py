@@ -33,8 +33,10 @@ def clean(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}")
     out_col = out_col or f"cleaned_{text_col}"
-    raw = F.col(text_col)
-    cleaned = df.withColumn(out_col, MODES[mode](raw)).filter(fn.not_blank(raw))
+    if drop_duplicates and out_col not in df.columns:
+        # rows that agree in all columns have the same cleaned text, so only the raw columns travel
+        df, drop_duplicates = df.filter(fn.not_blank(F.col(text_col))).dropDuplicates(), False
+    cleaned = df.withColumn(out_col, MODES[mode](F.col(text_col))).filter(fn.not_blank(F.col(text_col)))
     if drop_empty_output:
         cleaned = cleaned.filter(F.col(out_col).rlike(r"\S"))
     return cleaned.dropDuplicates() if drop_duplicates else cleaned
