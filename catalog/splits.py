@@ -98,7 +98,7 @@ def histogram(spark, sf_dir):
 
 @query("split_points", f"WITH {BASE_SQL} SELECT node_id, feature, round(split, 9) AS split FROM cand")
 def split_points(spark, sf_dir):
-    return named(sp.split_points(root_hist(spark, sf_dir))).withColumn("split", F.round("split", 9))
+    return named(sp.split_points(sp.left_counts(root_hist(spark, sf_dir)))).withColumn("split", F.round("split", 9))
 
 
 CANDIDATES_SELECT = "SELECT node_id, feature, round(split, 9) AS split, l0, l1, r0, r1 FROM cand"

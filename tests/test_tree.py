@@ -118,7 +118,9 @@ def test_numbering_of_very_large_levels(spark, monkeypatch):
 
 def test_pure_and_shallow_roots_are_leaves(spark):
     df = spark.createDataFrame([(float(i), 1) for i in range(300)], "x double, ground_truth int")
-    assert nested(tr.fit(dense_matrix(df, ["x"]))) == (1, 0, 300)
+    tree = tr.fit(dense_matrix(df, ["x"]))
+    assert nested(tree) == (1, 0, 300)
+    assert tr.predict(df, tree, case_nodes=0).filter("prediction = 1").count() == 300
     rows = sample_rows(1)
     assert nested(tr.fit(dense_matrix(frame(spark, rows), "abcd"), max_depth=0))[0] in (0, 1)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textree.functions.numeric import class_entropy, entropy_term, majority
@@ -50,13 +50,6 @@ def with_zero_bins(hist: DataFrame, nodes: DataFrame, nodes_bytes: int | None =
     return hist.unionByName(zeros.filter("n0 + n1 > 0"))
 
 
-def split_points(hist: DataFrame) -> DataFrame:
-    """Midpoints of neighbouring distinct values; a feature with one value has none."""
-    order = Window.partitionBy(*GROUP).orderBy("value")
-    split = (F.col("value") + F.lead("value").over(order)) / 2.0
-    return hist.select(*GROUP, split.alias("split")).filter("split IS NOT NULL")
-
-
 def _left_side(table: DataFrame) -> DataFrame:
     """Counts below each midpoint from (value, next_value, n0, n1, run0, run1).
 
@@ -131,6 +124,11 @@ def left_counts_ranged(hist: DataFrame, parts: int | None = None) -> DataFrame:
     )
 
 
+def split_points(left: DataFrame) -> DataFrame:
+    """Midpoints of neighbouring distinct values; a feature with one value has none."""
+    return left.select(*GROUP, "split")
+
+
 def largest_group(hist: DataFrame) -> int:
     """Most distinct values that any (node, feature) has."""
     sizes = hist.groupBy(*GROUP).agg(F.count("*").alias("n"))

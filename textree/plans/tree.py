@@ -343,14 +343,20 @@ def _walk(
         "depth", F.col("node_id").alias("_node"), place_of.alias("_place"), "split", "left_id", "right_id"
     )
     columns, piled, last = rows.columns, 0, None
-    deepest = steps.agg(F.max("depth")).first()[0]
+    deepest = steps.agg(F.coalesce(F.max("depth"), F.lit(-1))).first()[0]
+    if size_in_bytes(steps) > limit:
+        # too large to broadcast: rows get a number to be salted by, so that copies part as well
+        last = store(rows.withColumn("_number", F.monotonically_increasing_id()), "walk")
+        rows = last.df
+    salt_on = ["_number"] if last else None
+    carried = rows.columns
     rows = rows.withColumn("_node", F.lit(1).cast("long"))
     for depth in range(deepest + 1):
         level = steps.filter(F.col("depth") == depth).drop("depth")
-        met = join_small(rows, level, ["_node"], "left", limit=limit)
+        met = join_small(rows, level, ["_node"], "left", salt_on, limit=limit)
         right = _goes_right(_value_at(x, F.col("_place"), sparse), F.col("split"), boundary)
         child = F.when(right, F.col("right_id")).otherwise(F.col("left_id"))
-        rows = met.select(*columns, F.coalesce(child, F.col("_node")).alias("_node"))
+        rows = met.select(*[f"`{c}`" for c in carried], F.coalesce(child, F.col("_node")).alias("_node"))
         piled += 1
         if piled >= plan_levels and depth < deepest:
             fresh = store(rows, "walk")
@@ -358,7 +364,8 @@ def _walk(
                 last.release()
             last, rows, piled = fresh, fresh.df, 0
     leaves = tree.filter("feature IS NULL").select(F.col("node_id").alias("_node"), F.col("label").alias("_label"))
-    return join_small(rows, leaves, ["_node"], "inner", limit=limit).drop("_node")
+    scored = join_small(rows, leaves, ["_node"], "inner", salt_on, limit=limit)
+    return scored.select(*[f"`{c}`" for c in columns], "_label")
 
 
 def predict(
