@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textree.functions.numeric import class_entropy, entropy_term, majority
 from textree.operators.joins import join_small
-from textree.storage import store
+from textree.storage import Stored, store
 
 GROUP = ["node_id", "feature"]
 NODE_BYTES = 64
@@ -85,18 +85,24 @@ def left_counts(hist: DataFrame) -> DataFrame:
     return _left_side(_running(hist, GROUP))
 
 
-def left_counts_ranged(hist: DataFrame, parts: int | None = None) -> DataFrame:
+def left_counts_ranged(
+    hist: DataFrame, parts: int | None = None, stored: list[Stored] | None = None
+) -> DataFrame:
     """The same counts when one (node, feature) has more values than one task should sort.
 
     The histogram is range-partitioned by (node, feature, value), so a large group is cut into pieces of
     consecutive values. Pieces are summed on their own; what lies before a piece, and the value that
-    follows it, come from a table with one row per piece.
+    follows it, come from a table with one row per piece. The cut is stored; it is added to ``stored`` for
+    the caller to release once the counts are used.
     """
     by = [*GROUP, "piece"]
     keys = [*GROUP, "value"]
     ranged = hist.repartitionByRange(parts, *keys) if parts else hist.repartitionByRange(*keys)
     # stored, because both uses below must see the same cut
-    pieces = store(ranged.withColumn("piece", F.spark_partition_id()), "pieces").df
+    cut = store(ranged.withColumn("piece", F.spark_partition_id()), "pieces")
+    if stored is not None:
+        stored.append(cut)
+    pieces = cut.df
     order = "(PARTITION BY node_id, feature ORDER BY piece)"
     before = order.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     edges = (

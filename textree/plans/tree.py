@@ -153,19 +153,19 @@ def _place(names: Sequence[str]) -> Column:
 
 def best_splits(
     rows: DataFrame, nodes: DataFrame, n_nodes: int, biggest: int, sparse: bool, rule: Rule
-) -> tuple[DataFrame, Stored | None]:
-    """The best split of every open node; the histogram too, if it had to be stored."""
+) -> tuple[DataFrame, list[Stored]]:
+    """The best split of every open node, and what had to be stored on the way."""
     nodes_bytes = n_nodes * sp.NODE_BYTES
     hist = sp.histogram(sp.long_rows(rows, sparse))
     if sparse:
         hist = sp.with_zero_bins(hist, nodes, nodes_bytes)
-    kept, ranged = None, False
+    kept, ranged = [], False
     # a group has no more values than its node has rows, so small nodes need no look
     if biggest > rule.max_group:
-        kept = store(hist, "hist")
-        hist = kept.df
+        kept.append(store(hist, "hist"))
+        hist = kept[0].df
         ranged = sp.largest_group(hist) > rule.max_group
-    left = sp.left_counts_ranged(hist) if ranged else sp.left_counts(hist)
+    left = sp.left_counts_ranged(hist, stored=kept) if ranged else sp.left_counts(hist)
     gains = sp.gain_ratio(sp.candidates(left, nodes, nodes_bytes), rule.min_side)
     return sp.best(gains, rule.gain_digits), kept
 
@@ -260,8 +260,8 @@ def fit(
             level = _local_level(spark, found, next_id)
         else:
             level = _stored_level(found, n_nodes, next_id)
-        if kept:
-            kept.release()
+        for part in kept:
+            part.release()
         levels.append(level)
         n_nodes, biggest = level.n_open, level.biggest
         next_id += 2 * level.n_splits
