@@ -66,13 +66,16 @@ def tfidf_table(
     is neither stemmed nor shuffled: what travels are counts per (document, vocabulary term).
     """
     stem = fn.stem_column(F.col("token")) if stemming else F.col("token")
-    words = store(word_counts(docs, id_col, text_col, mode, stop_words).withColumn("term", stem), "words").df
-    n_docs = sum(r["cnt"] for r in words.filter("token IS NULL").select("cnt").collect())
-    words = words.filter("token IS NOT NULL")
+    counted = store(word_counts(docs, id_col, text_col, mode, stop_words).withColumn("term", stem), "words")
+    # one row at most
+    n_docs = sum(r["cnt"] for r in counted.df.filter("token IS NULL").select("cnt").collect())
+    words = counted.df.filter("token IS NOT NULL")
     terms = store(ft.vocabulary(words, vocab_size, "cnt"), "vocabulary").df
-    known = store(join_small(words, terms.select("term"), ["term"], "left_semi", limit=limit), "known").df
+    known = store(join_small(words, terms.select("term"), ["term"], "left_semi", limit=limit), "known")
+    counted.release()
     tokens = document_tokens(docs, id_col, text_col, mode, stop_words)
-    hits = join_small(tokens, known.select("token", "term"), ["token"], salt_on=[id_col, "pos"], limit=limit)
+    hits = join_small(tokens, known.df.select("token", "term"), ["token"], salt_on=[id_col, "pos"], limit=limit)
     counts = store(ft.term_counts(hits, id_col, "term"), "counts").df
+    known.release()
     values = ft.tfidf(counts, store(ft.document_frequency(counts), "df").df, n_docs, id_col, limit)
     return TfIdf(values, terms, n_docs)

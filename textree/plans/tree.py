@@ -391,7 +391,8 @@ def predict(
             return F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(0.0))
 
         return df.withColumn(out_col, case_expression(nodes, value_of, boundary))
-    used = {r[0] for r in tree.filter("feature IS NOT NULL").select("feature").distinct().collect()}
+    # at most as many names as the table has columns
+    used = {r[0] for r in tree.filter(F.col("feature").isin(columns)).select("feature").distinct().collect()}
     names = [c for c in columns if c in used]
     values = F.array(*[F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)) for n in names])
     rows = df.withColumn("_x", values)
