@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textree.llm import prefix_bpe, token_counts, token_files
+from textree.llm import line_chunks, prefix_bpe, secret_scan, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +44,88 @@ def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_line_chunks(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    counts = [F.size(r.kind).cast("long").alias(f"n_{r.kind}") for r in secret_scan.RULES]
+    rows = found.select(F.col("path").alias("doc_id"), *counts, secret_scan.span_text(secret_scan.span_list()).alias("spans"))
+    return rows.withColumn("base_sha256", F.sha2("spans", 256))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, limit=1024)
+
+
+# --- SQL of the queries it can express ---
+
+ORACLES["op4_line_chunks"] = r"""
+WITH split AS (
+    SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), hashed AS (
+    SELECT doc_id, text, lines, list_transform(lines, lambda x: md5(x)) AS h FROM split
+), started AS (
+    SELECT doc_id, text, lines,
+        list_filter(range(1, len(lines) + 1), lambda i: i = 1 OR (i > 2 AND md5(h[i - 2] || h[i - 1])[1] <= '7')) AS starts
+    FROM hashed
+), cut AS (
+    SELECT doc_id, text, len(lines) AS n_lines,
+        list_transform(range(1, len(starts) + 1), lambda k: array_to_string(
+            lines[starts[k] : coalesce(starts[k + 1] - 1, len(lines))], chr(10))) AS chunks
+    FROM started
+), placed AS (
+    SELECT doc_id, text, n_lines, unnest(chunks) AS chunk, generate_subscripts(chunks, 1) AS place FROM cut
+), counted AS (
+    SELECT *, length(chunk) - length(replace(chunk, chr(10), '')) + 1 AS n FROM placed
+), ranked AS (
+    SELECT *, n >= 2 AND regexp_matches(chunk, '\w')
+        AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, place) > 1 AS gone
+    FROM counted
+), kept AS (
+    SELECT doc_id, max(n_lines) AS n_lines, coalesce(sum(n) FILTER (gone), 0) AS n_removed_lines,
+        coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text
+    FROM ranked GROUP BY doc_id
+)
+SELECT k.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE k.text END AS text,
+    CAST(k.n_lines AS BIGINT) AS n_lines, CAST(k.n_removed_lines AS BIGINT) AS n_removed_lines
+FROM kept k JOIN documents d USING (doc_id)
+"""
+
+
+def _secrets_sql() -> str:
+    """Matches and the pieces between them give the places, as running lengths."""
+    patterns = {
+        "assign": (r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)""", 2, 8),
+        "access": (r"()(AKIA[A-Z0-9]+)", 2, 16),
+        "hex": (r"()([0-9a-f]+)", 2, 32),
+    }
+    parts = []
+    for order, (kind, (pattern, group, least)) in enumerate(patterns.items()):
+        parts.append(f"""
+            SELECT doc_id, '{kind}' AS kind, {order} AS o, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+                'a': list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
+                'n': length(m[i]), 'k': length(g[i])}})) AS s
+            FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS p, regexp_extract_all(text, '{pattern}', 0) AS m,
+                regexp_extract_all(text, '{pattern}', {group}) AS g FROM documents WHERE regexp_matches(text, '{pattern}'))
+            """)
+        parts[-1] = f"SELECT doc_id, kind, o, s.a AS a, s.a + s.n AS e FROM ({parts[-1]}) WHERE s.k >= {least}"
+    return f"""
+WITH found AS ({" UNION ALL ".join(parts)}),
+listed AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY a, o) AS spans
+    FROM found GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+    CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, coalesce(spans, '') AS spans, sha256(coalesce(spans, '')) AS base_sha256
+FROM documents d LEFT JOIN listed l USING (doc_id)
+"""
+
+
+ORACLES["op5_secret_scan"] = _secrets_sql()
