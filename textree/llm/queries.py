@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textree.llm import line_chunks, prefix_bpe, secret_scan, token_counts, token_files
+from textree.llm import line_chunks, prefix_bpe, secret_scan, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +57,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("base_sha256", F.sha2("spans", 256))
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_split(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, limit=1024)
