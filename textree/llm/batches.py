@@ -37,15 +37,18 @@ def text_slices(batch: pa.RecordBatch, text: str, chars: int = SLICE_CHARS) -> I
 
 
 def mapper(
-    make: Callable[[], Callable[[list[str]], dict[str, list]]], ident: str, text: str, schema: pa.Schema
+    make: Callable[[], Callable[[list[str]], dict[str, list]]], keep: list[str], text: str, schema: pa.Schema
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For ``mapInArrow``: ``make()`` runs once per task and gives a function from texts to result columns."""
+    """For ``mapInArrow``: ``make()`` runs once per task and gives a function from texts to result columns.
+
+    Columns in ``keep`` pass through under their names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
             for start, texts in text_slices(batch, text):
-                columns = {schema.field(0).name: batch.column(ident).slice(start, len(texts)), **work(texts)}
+                columns = {name: batch.column(name).slice(start, len(texts)) for name in keep} | work(texts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], f.type) if isinstance(columns[f.name], list) else columns[f.name].cast(f.type) for f in schema],
                     schema=schema,

@@ -167,4 +167,4 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         return work
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(mapper(make, "doc_id", "text", SCHEMA), "doc_id long, ids array<int>, decoded string")
+    return rows.mapInArrow(mapper(make, ["doc_id"], "text", SCHEMA), "doc_id long, ids array<int>, decoded string")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textree.llm import line_chunks, prefix_bpe, secret_scan, token_counts, token_files, toxicity
+from textree.llm import line_chunks, packing, prefix_bpe, secret_scan, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BIN_TOKENS = 2048
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Bins of exact token counts; copies up to case and outer white space are one cluster."""
+    cluster = F.xxhash64(F.lower(F.trim(F.coalesce("text", F.lit("")))))
+    counted = token_counts.count_tokens(docs, BYTE_BPE, keep={"source": (F.col("source"), "string"), "cluster": (cluster, "long")})
+    return packing.pack(counted, BIN_TOKENS)
+
+
+@query
+def op1_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_index(table(spark, sf_dir, "documents"), WORD_BPE, END_ID)

@@ -14,8 +14,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from textree.llm.batches import BoundedCache, mapper
@@ -24,7 +26,7 @@ from textree.llm.text_encoder import BYTE_OF, UNUSUAL, as_text
 NO_RANK = np.iinfo(np.int64).max
 #: The library's pattern in the faster built-in module, where both agree: not on UNUSUAL.
 PRE_TOKEN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-COUNTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
+COUNTS = StructType([StructField("n_bytes", LongType()), StructField("n_tokens", LongType())])
 
 
 class RankMerger:
@@ -137,8 +139,15 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit for each row of ``docs``.
+def count_tokens(
+    docs: DataFrame,
+    tokenizer_path: str,
+    limit: int = 1024,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: dict[str, tuple[Column, str]] | None = None,
+) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit for each row of ``docs``, and the columns ``keep`` (name: value, type).
 
     Null and empty texts have 0 bytes and 0 tokens; repeated rows and null ids each give a row; an empty
     table gives an empty table; other columns are not read. A narrow projection: no shuffle. Very long
@@ -149,6 +158,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
         count = counter(tokenizer_path).count
         return lambda texts: {"n_bytes": [len(x.encode("utf-8")) for x in texts], "n_tokens": count(texts)}
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counted = rows.mapInArrow(mapper(make, "doc_id", "text", COUNTS), "doc_id long, n_bytes long, n_tokens long")
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    kept = {f"_{name}": value.cast(kind).alias(f"_{name}") for name, (value, kind) in (keep or {}).items()}
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *kept.values())
+    arrow = to_arrow_schema(rows.drop("text").schema)
+    schema = pa.schema([*arrow, ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
+    out = StructType([*rows.drop("text").schema, *COUNTS])
+    counted = rows.mapInArrow(mapper(make, ["doc_id", *kept], "text", schema), out)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), *[F.col(x).alias(x[1:]) for x in kept])
