@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textree.llm import line_chunks, packing, prefix_bpe, secret_scan, token_counts, token_files, toxicity
+from textree.llm import jaccard_join, line_chunks, packing, prefix_bpe, secret_scan, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,6 +72,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("base_sha256", F.sha2("spans", 256))
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=4, percent=85))
+
+
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
