@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textree.llm import grid_order_join, jaccard_join, line_chunks, packing, prefix_bpe, secret_scan, token_counts, token_files, toxicity
+from textree.llm import grid_order_join, jaccard_join, line_chunks, packing, posting_lists, prefix_bpe, secret_scan, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,6 +90,11 @@ def op8_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_order_join.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+@query
+def op9_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.nearest(table(spark, sf_dir, "embeddings"), k=5, query_step=50)
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, limit=1024)
