@@ -239,3 +239,57 @@ def test_scoring_and_cleaning_take_a_stream(spark, tmp_path):
     query.stop()
     rows = spark.table("scored").groupBy("ground_truth", "prediction", "cleaned_t").count().collect()
     assert sorted(map(tuple, rows)) == [(0, 0, "a ", 20), (1, 1, "b", 20)]
+
+
+def deep_tree(spark, feature="b"):
+    """511 nodes over one feature: splits halve 0..256, leaves alternate."""
+    nodes = []
+    for number in range(1, 512):
+        depth = number.bit_length() - 1
+        first = (number - (1 << depth)) * (256 >> depth)
+        leaf = depth == 8
+        nodes.append(
+            (number, depth, None if leaf else feature, None if leaf else first + (128 >> depth) - 0.5,
+             None if leaf else 2 * number, None if leaf else 2 * number + 1, first % 2 if leaf else None, 1, 1)
+        )
+    return spark.createDataFrame(
+        nodes, "node_id long, depth int, feature string, split double, left_id long, right_id long, label int, n0 long, n1 long"
+    )
+
+
+WAYS = [{"case_nodes": 1000}, {}, {"case_nodes": 0, "limit": 0, "plan_levels": 3}]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_scoring_is_the_same_for_every_size_of_tree(spark, way):
+    tree = deep_tree(spark)
+    df = spark.createDataFrame(
+        [(float(i), i, i + 1, i + 2, i + 3, "x") for i in range(256)], "B double, split int, left_id int, _node int, _row int, _x string"
+    )
+    got = tr.predict(df, tree, **way)
+    assert got.columns == [*df.columns, "prediction"]
+    assert sorted(map(tuple, got.collect())) == [(float(i), i, i + 1, i + 2, i + 3, "x", i % 2) for i in range(256)]
+    with pytest.raises(ValueError, match="b"):
+        tr.predict(df.drop("B"), tree, **way)
+    odd = spark.createDataFrame([(None,), (float("nan"),)], "b double")
+    assert sorted(r["prediction"] for r in tr.predict(odd, tree, **way).collect()) == [0, 1]
+
+
+@pytest.mark.parametrize("way", WAYS[:2])
+def test_a_stream_is_scored_by_large_trees_too(spark, tmp_path, way):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([(float(i),) for i in range(256)], "b double").write.parquet(path)
+    stream = spark.readStream.schema("b double").parquet(path)
+    run = tr.predict(stream, deep_tree(spark), **way).writeStream.format("memory").queryName("scored_stream").trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert sorted(map(tuple, spark.table("scored_stream").collect())) == [(float(i), i % 2) for i in range(256)]
+
+
+def test_nested_columns_count_with_their_content(spark):
+    from textree.operators.joins import size_in_bytes
+
+    df = spark.range(10).selectExpr("id", "array_repeat(repeat('x', 1000), 1000) AS a", "map('k', repeat('y', 500)) AS m", "struct(id AS i) AS s")
+    assert size_in_bytes(df) > 10_000_000
+    assert size_in_bytes(spark.createDataFrame([(bytes(5000), None)], "b binary, n array<array<int>>")) > 5000
+    with pytest.raises(ValueError):
+        size_in_bytes(spark.sql("SELECT INTERVAL '1' MONTH AS i"))

@@ -10,15 +10,34 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
+def width_of(value: Column, kind: T.DataType) -> Column:
+    """Bytes of one value: strings and binaries at their length, arrays, maps and structs with all they hold."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 8
+    if isinstance(kind, T.StructType):
+        parts = [width_of(value.getField(f.name), f.dataType) for f in kind]
+        return sum(parts, F.lit(8).cast("long"))
+    if isinstance(kind, T.ArrayType):
+        if _fixed(kind.elementType):
+            return F.coalesce(F.size(value), F.lit(0)).cast("long") * 8 + 8
+        held = F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + width_of(x, kind.elementType))
+        return F.coalesce(held, F.lit(0).cast("long")) + 8
+    if isinstance(kind, T.MapType):
+        return width_of(F.map_keys(value), T.ArrayType(kind.keyType)) + width_of(F.map_values(value), T.ArrayType(kind.valueType))
+    if _fixed(kind):
+        return F.lit(16 if isinstance(kind, T.DecimalType) else 8).cast("long")
+    raise ValueError(f"the size of a {kind.simpleString()} is not known")
+
+
+def _fixed(kind: T.DataType) -> bool:
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType, T.DayTimeIntervalType)
+    return isinstance(kind, fixed)
+
+
 def size_in_bytes(df: DataFrame) -> int:
-    """Rows times widths, strings at their real length. ``df`` should be stored or cheap."""
-    width: Column = F.lit(16)
-    for field in df.schema:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(8)
-        else:
-            width = width + F.lit(8)
-    return df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    """Rows times widths, nested values with all they hold. ``df`` should be stored or cheap."""
+    width = sum((width_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(16).cast("long"))
+    return df.agg(F.sum(width)).first()[0] or 0
 
 
 def join_small(

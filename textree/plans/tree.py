@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -328,44 +330,99 @@ def case_expression(nodes: dict[int, dict], value_of: Callable[[str], Column], b
     return build(1)
 
 
-def _walk(
-    rows: DataFrame,
-    tree: DataFrame,
-    place_of: Column,
-    sparse: bool,
-    boundary: str,
-    plan_levels: int,
-    limit: int,
-    x: str = "x",
-) -> DataFrame:
-    """Level-wise scoring by the values in column ``x``, for trees too large for one expression."""
+def _used_features(tree: DataFrame, most: int) -> list[str]:
+    """Features that the tree splits on, sorted; one more than ``most`` at most come back."""
+    named = tree.filter("feature IS NOT NULL").select("feature").distinct()
+    return sorted(r[0] for r in named.limit(most + 1).collect())
+
+
+def _resolve(tree: DataFrame, columns: Sequence[str], case_sensitive: bool) -> dict[str, str]:
+    """The column of each feature, by the session's case rule; ValueError names what is missing or ambiguous."""
+    key = str if case_sensitive else str.lower
+    found: dict[str, list[str]] = {}
+    for column in columns:
+        found.setdefault(key(column), []).append(column)
+    used = _used_features(tree, len(columns))
+    missing = [f for f in used if key(f) not in found]
+    if missing:
+        raise ValueError(f"no column for the features {missing}")
+    double = [f for f in used if len(found[key(f)]) > 1]
+    if double:
+        raise ValueError(f"more than one column for the features {double}")
+    return {f: found[key(f)][0] for f in used}
+
+
+def _walker(nodes: list[dict], names: Sequence[str], boundary: str, kind) -> Callable[[Column], Column]:
+    """One pass over arrays of feature values: every row of a batch goes down one level at a time."""
+    at = {node["node_id"]: i for i, node in enumerate(nodes)}
+    place_of = {name: i for i, name in enumerate(names)}
+    inner = np.array([node["feature"] is not None for node in nodes])
+    place = np.array([place_of[n["feature"]] if n["feature"] is not None else 0 for n in nodes], np.int32)
+    split = np.array([n["split"] if n["feature"] is not None else 0.0 for n in nodes])
+    left, right = (np.array([at[n[side]] if n["feature"] is not None else 0 for n in nodes]) for side in ("left_id", "right_id"))
+    label = np.array([n["label"] or 0 for n in nodes])
+    root = at[1]
+
+    @F.pandas_udf(kind)
+    def walk(values: pd.Series) -> pd.Series:
+        x = np.stack(values.to_numpy()) if len(values) else np.zeros((0, 1))
+        now = np.full(len(x), root)
+        open_ = np.flatnonzero(inner[now])
+        while len(open_):
+            node = now[open_]
+            value = x[open_, place[node]]
+            goes_right = (value > split[node] if boundary == "gt" else value >= split[node]) | np.isnan(value)
+            now[open_] = np.where(goes_right, right[node], left[node])
+            open_ = open_[inner[now[open_]]]
+        return pd.Series(label[now])
+
+    return walk
+
+
+def _walk_by_joins(rows: DataFrame, tree: DataFrame, names: Sequence[str], boundary: str, plan_levels: int, limit: int) -> DataFrame:
+    """Level-wise scoring of (_row, _x) for a tree that is not broadcast. Rows get a number to be salted by, so that
+    copies part as well; only the number, the values and the node are carried and stored on the way."""
     steps = tree.filter("feature IS NOT NULL").select(
-        "depth", F.col("node_id").alias("_node"), place_of.alias("_place"), "split", "left_id", "right_id"
+        "depth", F.col("node_id").alias("_node"), _place(names).alias("_place"), "split", "left_id", "right_id"
     )
-    columns, piled, last = rows.columns, 0, None
+    whole = store(rows.withColumn("_number", F.monotonically_increasing_id()), "walk")
+    carried = ["_number", "_x"]
+    now = whole.df.select(*carried).withColumn("_node", F.lit(1).cast("long"))
     deepest = steps.agg(F.coalesce(F.max("depth"), F.lit(-1))).first()[0]
-    if size_in_bytes(steps) > limit:
-        # too large to broadcast: rows get a number to be salted by, so that copies part as well
-        last = store(rows.withColumn("_number", F.monotonically_increasing_id()), "walk")
-        rows = last.df
-    salt_on = ["_number"] if last else None
-    carried = rows.columns
-    rows = rows.withColumn("_node", F.lit(1).cast("long"))
+    last = None
     for depth in range(deepest + 1):
         level = steps.filter(F.col("depth") == depth).drop("depth")
-        met = join_small(rows, level, ["_node"], "left", salt_on, limit=limit)
-        right = _goes_right(_value_at(x, F.col("_place"), sparse), F.col("split"), boundary)
+        met = join_small(now, level, ["_node"], "left", ["_number"], limit=limit)
+        right = _goes_right(_value_at("_x", F.col("_place"), False), F.col("split"), boundary)
         child = F.when(right, F.col("right_id")).otherwise(F.col("left_id"))
-        rows = met.select(*[f"`{c}`" for c in carried], F.coalesce(child, F.col("_node")).alias("_node"))
-        piled += 1
-        if piled >= plan_levels and depth < deepest:
-            fresh = store(rows, "walk")
+        now = met.select(*carried, F.coalesce(child, F.col("_node")).alias("_node"))
+        if (depth + 1) % plan_levels == 0 and depth < deepest:
+            fresh = store(now, "walk")
             if last:
                 last.release()
-            last, rows, piled = fresh, fresh.df, 0
+            last, now = fresh, fresh.df
     leaves = tree.filter("feature IS NULL").select(F.col("node_id").alias("_node"), F.col("label").alias("_label"))
-    scored = join_small(rows, leaves, ["_node"], "inner", salt_on, limit=limit)
-    return scored.select(*[f"`{c}`" for c in columns], "_label")
+    scored = join_small(now, leaves, ["_node"], "inner", ["_number"], limit=limit).select("_number", "_label")
+    return whole.df.select("_number", "_row").join(scored, "_number")
+
+
+def _score(
+    df: DataFrame, tree: DataFrame, names: Sequence[str], value_of: Callable[[str], Column], out_col: str, boundary: str,
+    case_nodes: int, plan_levels: int, limit: int,
+) -> DataFrame:
+    """The same checks and answers for every size of tree. A tree of up to ``limit`` bytes is a projection - one
+    expression if it is small, else arrays that every task walks - and takes a stream; a larger one is joined."""
+    small = tree.limit(case_nodes + 1).count() <= case_nodes
+    if small or size_in_bytes(tree) <= limit:
+        nodes = [r.asDict() for r in tree.collect()]
+        if small:
+            return df.withColumn(out_col, case_expression({n["node_id"]: n for n in nodes}, value_of, boundary))
+        walk = _walker(nodes, names, boundary, tree.schema["label"].dataType)
+        return df.withColumn(out_col, walk(F.array(*[value_of(n) for n in names])))
+    kept = [c for c in df.columns if c != out_col]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.array(*[value_of(n) for n in names]).alias("_x"))
+    scored = _walk_by_joins(rows, tree, names, boundary, plan_levels, limit)
+    return scored.select(*[F.col(f"_row.`{c}`") for c in kept], F.col("_label").alias(out_col))
 
 
 def predict(
@@ -380,24 +437,15 @@ def predict(
     """The columns of a wide table plus the predicted class.
 
     ``boundary='gt'`` sends a value equal to a split left, as scoring has always done; ``'ge'`` sends it
-    right, as growing does. A tree of up to ``case_nodes`` nodes becomes a projection, which also takes
-    a stream; a larger one is walked level by level with measured joins.
+    right, as growing does. Null values count as 0. Features are found by the session's case rule; a missing one is
+    a ValueError whatever the size of the tree.
     """
-    columns = df.columns
-    if tree.limit(case_nodes + 1).count() <= case_nodes:
-        nodes = {r["node_id"]: r.asDict() for r in tree.collect()}
+    column = _resolve(tree, df.columns, df.sparkSession.conf.get("spark.sql.caseSensitive") == "true")
 
-        def value_of(name: str) -> Column:
-            return F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(0.0))
+    def value_of(name: str) -> Column:
+        return F.coalesce(F.col(f"`{column[name]}`").cast("double"), F.lit(0.0))
 
-        return df.withColumn(out_col, case_expression(nodes, value_of, boundary))
-    # at most as many names as the table has columns
-    used = {r[0] for r in tree.filter(F.col("feature").isin(columns)).select("feature").distinct().collect()}
-    names = [c for c in columns if c in used]
-    values = F.array(*[F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)) for n in names])
-    rows = df.withColumn("_x", values)
-    scored = _walk(rows, tree, _place(names), False, boundary, plan_levels, limit, "_x")
-    return scored.select(*[f"`{c}`" for c in columns], F.col("_label").alias(out_col))
+    return _score(df, tree, list(column), value_of, out_col, boundary, case_nodes, plan_levels, limit)
 
 
 def predict_matrix(
@@ -409,19 +457,17 @@ def predict_matrix(
     plan_levels: int = PLAN_LEVELS,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Score the rows of a matrix; ``x`` is dropped from the result."""
-    rows, names = matrix.rows, matrix.names
-    if tree.limit(case_nodes + 1).count() <= case_nodes:
-        nodes = {r["node_id"]: r.asDict() for r in tree.collect()}
-
-        def value_of(name: str) -> Column:
-            place = F.lit(name) if matrix.sparse else F.lit(names.index(name))
-            return _value_at("x", place, matrix.sparse)
-
-        return rows.withColumn(out_col, case_expression(nodes, value_of, boundary)).drop("x")
-    place = F.col("feature") if matrix.sparse else _place(names)
-    scored = _walk(rows, tree, place, matrix.sparse, boundary, plan_levels, limit)
-    return scored.withColumnRenamed("_label", out_col).drop("x")
+    """Score the rows of a matrix; ``x`` is dropped from the result. A sparse row without a feature has 0 there."""
+    if matrix.sparse:
+        names = [r[0] for r in tree.filter("feature IS NOT NULL").select("feature").distinct().orderBy("feature").collect()]
+    else:
+        names = list(_resolve(tree, matrix.names, True))
+
+    def value_of(name: str) -> Column:
+        return _value_at("x", F.lit(name) if matrix.sparse else F.lit(matrix.names.index(name)), matrix.sparse)
+
+    scored = _score(matrix.rows, tree, names, value_of, out_col, boundary, case_nodes, plan_levels, limit)
+    return scored.drop("x")
 
 
 # --- the tree as data ------------------------------------------------------------------------------
