@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textree.llm.secret_scan import join_measured
+from textree.storage import store
 
 WINDOW = 2
 LEAST_LINES = 2
@@ -54,8 +55,8 @@ def line_count(chunk: Column) -> Column:
     return F.char_length(chunk) - F.char_length(F.replace(chunk, F.lit("\n"), F.lit(""))) + 1
 
 
-def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, least_lines: int = LEAST_LINES) -> DataFrame:
-    """doc_id, text without repeated chunks, n_lines and n_removed_lines for each row of ``docs``.
+def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, least_lines: int = LEAST_LINES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text without repeated chunks, n_lines and n_removed_lines for each row of ``docs``, and the columns ``keep``.
 
     The first occurrence is the one with the smallest doc_id (null ids first, then smaller text hash) and place.
     A text that is all repetition becomes empty; null texts stay null; empty ones stay empty. Chunks without a
@@ -63,19 +64,22 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     chunks, and a chunk repeated only between them stays. An empty table gives an empty table; other columns
     are not read. Texts are taken whole; one row holds one text at most.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(x).alias(f"_keep_{x}") for x in keep])
     version = F.xxhash64("text").alias("version")
     placed = rows.select("doc_id", version, F.posexplode(chunk_list(F.col("text"), window)).alias("place", "chunk"))
     placed = placed.where((line_count(F.col("chunk")) >= least_lines) & F.col("chunk").rlike("[0-9A-Za-z_]"))
-    here = F.struct("doc_id", "version", "place")
-    hashed = placed.select(F.md5("chunk").alias("hash"), here.alias("here"))
-    repeated = hashed.groupBy("hash").agg(F.min("here").alias("first"), F.max("here").alias("last"))
-    repeated = repeated.where("first != last").select("hash", "first")
-    again = join_measured(placed.withColumn("hash", F.md5("chunk")), repeated, "hash")
-    again = again.withColumn("here", here)
-    first = again.where("here = first").select("hash", F.col("chunk").alias("first_chunk")).dropDuplicates(["hash"])
-    copies = join_measured(again.where("here != first"), first, "hash").where("chunk = first_chunk")
-    gone = copies.groupBy("doc_id", "version").agg(F.collect_set("place").alias("gone"))
+    placed = placed.select(F.md5("chunk").alias("hash"), F.struct("doc_id", "version", "place").alias("here"), "chunk")
+    # three passes over the texts: hashes, the chunks that are met again, and the result
+    hashed = store(placed.select("hash", "here"), "line-hashes")
+    repeated = hashed.df.groupBy("hash").agg(F.min("here").alias("first"), F.max("here").alias("last"))
+    repeated = store(repeated.where("first != last").select("hash", "first"), "line-repeated")
+    again = store(join_measured(placed, repeated.df, "hash"), "line-again")
+    first = again.df.where("here = first").select("hash", F.col("chunk").alias("first_chunk")).dropDuplicates(["hash"])
+    copies = join_measured(again.df.where("here != first"), first, "hash").where("chunk = first_chunk")
+    gone = copies.groupBy("here.doc_id", "here.version").agg(F.collect_set("here.place").alias("gone"))
+    gone = store(gone, "line-gone").df
+    for used in (hashed, repeated, again):
+        used.release()
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "gone")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_version"))
     joined = join_measured(rows, gone, same, "left")
@@ -91,4 +95,5 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         kept_text.alias("text"),
         n_lines.cast("long").alias("n_lines"),
         (n_lines - F.coalesce(kept_lines, n_lines)).cast("long").alias("n_removed_lines"),
+        *[F.col(f"_keep_{x}").alias(x) for x in keep],
     )
