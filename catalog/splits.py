@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import FEATURES, RETURNED_SQL, lines, query
 from textree.operators import split as sp
 from textree.operators.features import dense_matrix
+from textree.storage import store
 
 LOG2 = "log10({0}) / log10(2.0::DOUBLE)"
 
@@ -60,16 +61,22 @@ def root_rows(spark, sf_dir, features=FEATURES):
     return rows.withColumn("node_id", F.lit(1).cast("long"))
 
 
-def root_node(spark, sf_dir):
-    """Class totals as the single node of depth 0."""
-    counts = lines(spark, sf_dir).agg(F.sum(1 - F.col("y")).alias("n0"), F.sum("y").alias("n1"))
-    return sp.node_stats(counts.select(F.lit(1).cast("long").alias("node_id"), "n0", "n1"))
-
-
 def root_hist(spark, sf_dir, features=FEATURES):
     return sp.histogram(sp.long_rows(root_rows(spark, sf_dir, features), sparse=False))
 
 
+def root_search(spark, sf_dir, features=FEATURES):
+    """The stored histogram and, from the bins of its first feature, the class totals of the node: one scan."""
+    hist = store(root_hist(spark, sf_dir, features), "root-hist").df
+    counts = hist.filter("feature = 0").groupBy("node_id").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return hist, sp.node_stats(counts)
+
+
+def found_candidates(spark, sf_dir):
+    hist, node = root_search(spark, sf_dir)
+    return sp.candidates(sp.left_counts(hist), node, nodes_bytes=sp.NODE_BYTES)
+
+
 def named(df, features=FEATURES):
     return df.withColumn("feature", F.element_at(F.lit(sorted(features)), F.col("feature") + 1))
 
@@ -106,20 +113,20 @@ CANDIDATES_SELECT = "SELECT node_id, feature, round(split, 9) AS split, l0, l1,
 
 @query("candidates", f"WITH {BASE_SQL} {CANDIDATES_SELECT}")
 def candidates(spark, sf_dir):
-    found = sp.candidates(sp.left_counts(root_hist(spark, sf_dir)), root_node(spark, sf_dir))
+    found = found_candidates(spark, sf_dir)
     return named(found.drop("entropy")).withColumn("split", F.round("split", 9))
 
 
 @query("candidates_ranged", f"WITH {PRICE_SQL} {CANDIDATES_SELECT}")
 def candidates_ranged(spark, sf_dir):
     price = ["l_extendedprice"]
-    left = sp.left_counts_ranged(root_hist(spark, sf_dir, price))
-    found = sp.candidates(left, root_node(spark, sf_dir)).drop("entropy")
+    hist, node = root_search(spark, sf_dir, price)
+    found = sp.candidates(sp.left_counts_ranged(hist), node, nodes_bytes=sp.NODE_BYTES).drop("entropy")
     return named(found, price).withColumn("split", F.round("split", 9))
 
 
 def gains(spark, sf_dir):
-    return sp.gain_ratio(sp.candidates(sp.left_counts(root_hist(spark, sf_dir)), root_node(spark, sf_dir)))
+    return sp.gain_ratio(found_candidates(spark, sf_dir))
 
 
 GAIN_COLUMNS = "node_id, feature, round(split, 9) AS split, l0, l1, r0, r1, round(gain_ratio, 9) AS gain_ratio"

@@ -102,7 +102,7 @@ def read_runs(spark, sf_dir):
 @query(
     "runs_scaling",
     f"""WITH {WORKERS_SQL} SELECT n_columns, cores, workers, count(*) AS n_runs,
-    round(avg(job_ms) / 60000, 2) AS job_minutes FROM placed WHERE n_columns IN (100, 250, 500) GROUP BY ALL""",
+    round(avg(job_ms) / 60000, 2) AS job_minutes FROM placed GROUP BY ALL""",
 )
 def runs_scaling(spark, sf_dir):
     return rn.scaling(stored_runs(spark, sf_dir))
@@ -111,13 +111,13 @@ def runs_scaling(spark, sf_dir):
 @query(
     "runs_by_width",
     f"""WITH {WORKERS_SQL} SELECT n_columns, workers, round(avg(job_ms) / 60000, 2) AS job_minutes
-    FROM placed WHERE cores = 3 AND n_columns <> 50 GROUP BY ALL""",
+    FROM placed WHERE cores = 3 GROUP BY ALL""",
 )
 def runs_by_width(spark, sf_dir):
     return rn.scaling_by_width(stored_runs(spark, sf_dir))
 
 
-GRID_COLUMNS = ", ".join(f"max(CASE WHEN workers = {w} THEN job_minutes END) AS w{w}" for w in (1, 2, 3, 4))
+GRID_COLUMNS = ", ".join(f"max(CASE WHEN workers = {w} THEN job_minutes END) AS w{w}" for w in range(1, 8))
 
 
 @query(
@@ -127,7 +127,24 @@ GRID_COLUMNS = ", ".join(f"max(CASE WHEN workers = {w} THEN job_minutes END) AS
 )
 def runs_grid(spark, sf_dir):
     grid = rn.scaling_grid(rn.scaling(stored_runs(spark, sf_dir)))
-    return grid.toDF("n_columns", "cores", "w1", "w2", "w3", "w4")
+    return grid.toDF("n_columns", "cores", *[f"w{c}" for c in grid.columns[2:]])
+
+
+@query(
+    "runs_unmatched",
+    """SELECT CASE WHEN l_linenumber = 2 THEN 'path' ELSE 'record' END AS reason, count(*) AS n_records
+    FROM lineitem WHERE l_linenumber IN (2, 3) GROUP BY ALL""",
+)
+def runs_unmatched(spark, sf_dir):
+    """The second lines lie under a folder that is no run, the third ones are no JSON; the others are read."""
+    path = new_path(spark, "analysis")
+    kept = table(spark, sf_dir, "lineitem").selectExpr(
+        "CASE WHEN l_linenumber = 3 THEN '{broken' ELSE to_json(struct(l_discount AS Accuracy)) END AS value",
+        "CASE WHEN l_linenumber = 2 THEN 'notes' ELSE 'instances2cores3' END AS run",
+        "'result100' AS result",
+    )
+    kept.write.partitionBy("run", "result").text(path)
+    return src.unread_runs(spark, path).groupBy("reason").agg(F.sum("n_records").alias("n_records"))
 
 
 @query(

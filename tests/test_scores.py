@@ -91,8 +91,9 @@ def test_runs_by_path(spark, tmp_path):
     keys = {(r["instances"], r["cores"], r["n_columns"], r["job_ms"]) for r in runs.collect()}
     assert (2, 3, 100, 90000.0) in keys and (0, 0, 25, 30000.0) in keys and len(keys) == 6
     scaled = {(r["n_columns"], r["cores"], r["workers"]): r["job_minutes"] for r in rn.scaling(runs).collect()}
-    assert scaled == {(100, 2, 1): 1.0, (100, 3, 2): 1.5, (250, 3, 4): 2.0, (100, 0, 1): 5.0}
+    assert scaled == {(100, 2, 1): 1.0, (100, 3, 2): 1.5, (250, 3, 4): 2.0, (100, 0, 1): 5.0, (25, 0, 1): 0.5, (50, 3, 1): 0.75}
     grown = {(r["workers"], r["n_columns"], r["job_minutes"]) for r in rn.growth(runs).collect()}
     assert grown == {(0, 25, 0.5), (1, 50, 0.75), (2, 100, 1.5), (4, 250, 2.0)}
     by_width = {(r["n_columns"], r["workers"]) for r in rn.scaling_by_width(runs).collect()}
-    assert by_width == {(100, 2), (250, 4)}
+    assert by_width == {(50, 1), (100, 2), (250, 4)}
+    assert rn.scaling(runs, [250]).count() == 1 and rn.scaling_by_width(runs, skip=[50]).count() == 2

@@ -68,9 +68,27 @@ def test_shared_folder_comes_from_the_session(spark):
     assert storage.shared_dir(FakeSession({}, "/set-by-hand", "yarn")) == "/set-by-hand"
     with pytest.raises(RuntimeError):
         storage.shared_dir(FakeSession({}, None, "yarn"))
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(FakeSession({}, None, "local-cluster[3,2,1024]"))
     assert storage.shared_dir(spark)
 
 
+def test_runs_take_their_key_from_the_last_folders(spark, tmp_path):
+    report = '{"Accuracy": 0.5, "Precision": 0.25, "Execution Time": "12", "Job Time": 60000}'
+    for path in ("result9/instances2cores3/result100.json", "old-sequential/instances4cores1/result250/part-0.json", "sequential/result25.json"):
+        file = tmp_path / "runs" / path
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(report + "\n")
+    (tmp_path / "runs" / "notes.json").write_text(report + "\n")
+    (tmp_path / "runs" / "instances2cores3" ).mkdir()
+    (tmp_path / "runs" / "instances2cores3" / "result50.json").write_text(report + "\n{broken\n")
+    rows = src.read_runs(spark, str(tmp_path / "runs")).collect()
+    assert sorted((r["instances"], r["cores"], r["n_columns"]) for r in rows) == [(0, 0, 25), (2, 3, 50), (2, 3, 100), (4, 1, 250)]
+    assert {r["fit_ms"] for r in rows} == {12.0}
+    left = src.unread_runs(spark, str(tmp_path / "runs")).collect()
+    assert sorted((r["reason"], r["n_records"]) for r in left) == [("path", 1), ("record", 1)]
+
+
 class FakeSession:
     def __init__(self, conf, folder, master):
         self.conf = conf

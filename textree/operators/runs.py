@@ -16,27 +16,28 @@ def workers(runs: DataFrame) -> DataFrame:
     return runs.withColumn("workers", used.cast("int"))
 
 
-def scaling(runs: DataFrame, widths: Sequence[int] = (100, 250, 500)) -> DataFrame:
-    """Job minutes per data set width, cores per instance and number of workers."""
+def scaling(runs: DataFrame, widths: Sequence[int] | None = None) -> DataFrame:
+    """Job minutes per data set width (all, or the given ones), cores per instance and number of workers."""
     minutes = F.round(F.avg("job_ms") / 60000, 2)
+    chosen = runs if widths is None else runs.filter(F.col("n_columns").isin(*widths))
     return (
-        workers(runs.filter(F.col("n_columns").isin(*widths)))
+        workers(chosen)
         .groupBy("n_columns", "cores", "workers")
         .agg(F.count("*").alias("n_runs"), minutes.alias("job_minutes"))
     )
 
 
-def scaling_by_width(runs: DataFrame, cores: int = 3, skip: Sequence[int] = (50,)) -> DataFrame:
-    """One line per width: minutes against workers for a fixed number of cores per instance."""
+def scaling_by_width(runs: DataFrame, cores: int = 3, skip: Sequence[int] = ()) -> DataFrame:
+    """One line per width, but for those in ``skip``: minutes against workers for a number of cores per instance."""
     chosen = runs.filter((F.col("cores") == cores) & ~F.col("n_columns").isin(*skip))
     minutes = F.round(F.avg("job_ms") / 60000, 2)
     return workers(chosen).groupBy("n_columns", "workers").agg(minutes.alias("job_minutes"))
 
 
-def scaling_grid(scaled: DataFrame, worker_counts: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
-    """The same as a grid with one column per worker count."""
-    cell = F.first("job_minutes")
-    return scaled.groupBy("n_columns", "cores").pivot("workers", list(worker_counts)).agg(cell)
+def scaling_grid(scaled: DataFrame) -> DataFrame:
+    """The same as a grid with one column per worker count that occurs; no run is left out."""
+    counts = sorted(r[0] for r in scaled.select("workers").distinct().collect())
+    return scaled.groupBy("n_columns", "cores").pivot("workers", counts).agg(F.first("job_minutes"))
 
 
 # Data and workers grow together in this series of (instances, cores, n_columns).

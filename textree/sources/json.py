@@ -24,29 +24,43 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-# How a run's path names its cluster shape and its data set.
-CLUSTER = r"instances(\d+)cores(\d+)"
-RESULT = r"result(\d+)"
-SEQUENTIAL = "/[^/]*sequential/"
+# How the last segments of a run's path name its cluster shape and its data set. Partition folders
+# (key=value) hold the same names.
+RUN_PATH = r"(?:^|[/=])(?:instances(\d+)cores(\d+)|([^/]*sequential))/(?:[^/=]*=)?result(\d+)(?:\.json)?(?:/[^/]*)?$"
 # Numbers are read as text first because JSON writers may quote long integers.
-RUN_FIELDS = "`Accuracy` double, `Precision` double, `Execution Time` string, `Job Time` string"
+RUN_FIELDS = "`Accuracy` double, `Precision` double, `Execution Time` string, `Job Time` string, `_corrupt_record` string"
+
+
+def _run_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    lines = spark.read.option("recursiveFileLookup", True).text(path).filter(F.trim("value") != "")
+    return lines.select(F.input_file_name().alias("path"), F.from_json("value", RUN_FIELDS).alias("run")).select("path", "run.*")
 
 
 def read_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per stored report with the key its path holds; sequential runs get (0, 0, n)."""
-    raw = spark.read.schema(RUN_FIELDS).option("recursiveFileLookup", True).json(path)
-    file = F.input_file_name()
-
-    def number(pattern: str, group: int) -> Column:
-        return F.regexp_extract(file, pattern, group).cast("int")
-
-    sequential = file.rlike(SEQUENTIAL)
-    return raw.filter(sequential | file.rlike(CLUSTER)).select(
-        F.when(sequential, F.lit(0)).otherwise(number(CLUSTER, 1)).alias("instances"),
-        F.when(sequential, F.lit(0)).otherwise(number(CLUSTER, 2)).alias("cores"),
-        number(RESULT, 1).alias("n_columns"),
+    """One row per stored report with the key its path holds; sequential runs get (0, 0, n).
+
+    The key stands in the folder that holds the result, whatever folders lie above. What cannot be read is in
+    :func:`unread_runs`.
+    """
+
+    def number(group: int) -> Column:
+        return F.try_to_number(F.regexp_extract("path", RUN_PATH, group), F.lit("9999999999")).cast("int")
+
+    fit = F.col("path").rlike(RUN_PATH) & F.col("_corrupt_record").isNull()
+    sequential = F.regexp_extract("path", RUN_PATH, 3) != ""
+    return _run_records(spark, path).filter(fit).select(
+        F.when(sequential, F.lit(0)).otherwise(number(1)).alias("instances"),
+        F.when(sequential, F.lit(0)).otherwise(number(2)).alias("cores"),
+        number(4).alias("n_columns"),
         F.col("Job Time").cast("double").alias("job_ms"),
         F.col("Execution Time").cast("double").alias("fit_ms"),
         F.col("Accuracy").alias("area_under_roc"),
         F.col("Precision").alias("area_under_pr"),
     )
+
+
+def unread_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, reason and number of the records that :func:`read_runs` does not give."""
+    reason = F.when(~F.col("path").rlike(RUN_PATH), "path").when(F.col("_corrupt_record").isNotNull(), "record")
+    records = _run_records(spark, path).withColumn("reason", reason).filter("reason IS NOT NULL")
+    return records.groupBy("path", "reason").agg(F.count("*").alias("n_records"))

@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="textree-"))
     return context.getCheckpointDir()
