@@ -8,6 +8,7 @@ findings are joined back to all rows that have the blob.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textree.operators.joins import BROADCAST_BYTES, size_in_bytes
-from textree.storage import new_path
+from textree.storage import new_path, store
 
 LEDGER = "blob string, rule string, version string, spans array<struct<start: int, end: int>>"
 SPANS = "array<struct<start: int, end: int>>"
@@ -102,7 +103,7 @@ class Ledger:
         if known is not None:
             pairs = pairs.join(known, ["blob", "rule", "version"], "left_anti")
         unseen = pairs.groupBy("blob", "path").agg(F.collect_set("rule").alias("todo"))
-        unseen = unseen.select(F.col("blob").alias("_blob"), F.col("path").alias("_path"), "todo")
+        unseen = store(unseen.select(F.col("blob").alias("_blob"), F.col("path").alias("_path"), "todo"), "secret-unseen").df
         here = (F.col("blob") == F.col("_blob")) & F.col("path").eqNullSafe(F.col("_path"))
         texts = join_measured(rows, unseen, here)
         empty = F.array().cast(SPANS)
@@ -119,29 +120,43 @@ class Ledger:
         )
         scanned.where("rule IS NOT NULL").dropDuplicates(["blob", "rule"]).write.mode("append").parquet(self.path)
 
-    def findings(self, docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """path (the id), blob and an array of spans per rule for every row of ``docs``, found or not."""
+    def by_blob(self, rules=RULES) -> DataFrame:
+        """blob and an array of spans (or null) per rule, of blobs where something was found."""
         known = self.table()
         if known is None:
             raise ValueError("the ledger has not been filled")
         current = F.concat_ws(":", "rule", "version").isin([f"{r.kind}:{r.version}" for r in rules])
         found = known.where(current & (F.size("spans") > 0))
-        wide = found.groupBy("blob").agg(*[F.max(F.when(F.col("rule") == r.kind, F.col("spans"))).alias(r.kind) for r in rules])
-        rows = join_measured(keyed(docs, id_col, text_col).select("path", "blob"), wide, "blob", "left")
+        return found.groupBy("blob").agg(*[F.max(F.when(F.col("rule") == r.kind, F.col("spans"))).alias(r.kind) for r in rules])
+
+    def findings(self, docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """path (the id), blob and an array of spans per rule for every row of ``docs``, found or not."""
+        rows = join_measured(keyed(docs, id_col, text_col).select("path", "blob"), self.by_blob(rules), "blob", "left")
         empty = F.array().cast(SPANS)
         return rows.select("path", "blob", *[F.coalesce(r.kind, empty).alias(r.kind) for r in rules])
 
+    def redact(self, docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
+        """``docs`` with what the ledger holds of their texts replaced; other columns and rows stay as they are."""
+        names = docs.columns
+        found = self.by_blob(rules).select(F.col("blob").alias("_blob"), F.struct(*[r.kind for r in rules]).alias("_found"))
+        marked = docs.withColumn("_own", F.sha2(F.coalesce(text_col, F.lit("")), 256))
+        joined = join_measured(marked, found, F.col("_own") == F.col("_blob"), "left")
+        empty = F.array().cast(SPANS)
+        spans = span_list(rules, lambda kind: F.coalesce(F.col("_found")[kind], empty))
+        text = F.when(F.col("_found").isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), spans))
+        return joined.select(*[text.alias(x) if x == text_col else F.col(x) for x in names])
+
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).alias("path"), text.alias("text"), F.sha2(text, 256).alias("blob"))
 
 
-def span_list(rules=RULES) -> Column:
+def span_list(rules=RULES, spans: Callable[[str], Column] = F.col) -> Column:
     """All spans as structs (start, order, end, kind), by start and then in the order of the rules."""
 
     def named(order: int, kind: str) -> Column:
-        return F.transform(kind, lambda x: F.struct(x["start"].alias("start"), F.lit(order).alias("order"), x["end"].alias("end"), F.lit(kind).alias("kind")))
+        return F.transform(spans(kind), lambda x: F.struct(x["start"].alias("start"), F.lit(order).alias("order"), x["end"].alias("end"), F.lit(kind).alias("kind")))
 
     parts = [named(order, rule.kind) for order, rule in enumerate(rules)]
     return F.array_sort(F.concat(*parts))

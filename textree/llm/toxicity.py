@@ -247,6 +247,23 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below ``threshold``. No shuffle."""
+    lexicon, exceptions = tuple(sorted(model.lexicon.items())), model.exceptions
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = built(lexicon, exceptions)
+        for batch in batches:
+            keep = []
+            for _, texts in text_slices(batch, text_col):
+                weighed = [matcher.weigh(x) for x in texts]
+                scores = model.score(np.array([n for n, _ in weighed], np.int64), np.array([w for _, w in weighed], np.float64))
+                keep += (scores < threshold).tolist()
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """Every fifth row by checksum of its id; never learned from. A null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
