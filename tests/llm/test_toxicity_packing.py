@@ -36,7 +36,7 @@ def synthetic(spark, n=600):
         words = [word() for _ in range(draw.randrange(5, 60))]
         if toxic:
             words.insert(draw.randrange(len(words)), draw.choice(["scum", "m0ron", "vileword"]))
-        elif i % 3 == 0:
+        elif i % 40 == 1:
             words[2:2] = ["no", "scum"]
         rows.append((i, " ".join(words), int(toxic)))
     return rows, spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)

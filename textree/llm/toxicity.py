@@ -42,6 +42,7 @@ PREFIX_LENGTHS = (4, 5, 6)
 LEAST_SHARE = 0.002  # of the toxic rows that must have a candidate: at most (distinct words in a text) / LEAST_SHARE candidates
 LEAST_ROWS = 3
 LEAST_WEIGHT = 2.0  # natural log-odds
+LEAST_EVIDENCE = 25.0  # likelihood ratio statistic: by chance about one form in 10^6 has it
 LEAST_EXCEPTION_ROWS = 3
 MAX_EXCEPTIONS = 10_000  # the most frequent ones; a documented bound of the model, not of the rows scored
 HITS = "toxic int, n_words int, weight double, phrases array<string>"
@@ -146,6 +147,13 @@ def _form_counts(rows: DataFrame, forms: frozenset[str] | None) -> DataFrame:
     return rows.select("text").mapInArrow(run, "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
 
 
+def evidence(toxic: int, clean: int, share: float) -> float:
+    """Likelihood ratio statistic of a form's toxic and clean rows against the overall share of toxic rows."""
+    total = toxic + clean
+    parts = ((toxic, total * share), (clean, total * (1 - share)))
+    return 2.0 * sum(n * math.log(n / expected) for n, expected in parts if n)
+
+
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn from all rows whose label is 0 or 1. Without both labels the model scores the share of label 1."""
     kept = labelled.where(F.col(label_col).isin(0, 1))
@@ -164,7 +172,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic") -
     weights = {
         form: math.log((n + 0.5) / (toxic + 1)) - math.log((clean_counts.get(form, 0) + 0.5) / (clean + 1)) for form, n in often.items()
     }
-    strong = {form: w for form, w in weights.items() if w >= LEAST_WEIGHT}
+    strong = {
+        form: w for form, w in weights.items()
+        if w >= LEAST_WEIGHT and evidence(often[form], clean_counts.get(form, 0), toxic / (toxic + clean)) >= LEAST_EVIDENCE
+    }
     # a beginning stands for the longer forms under it unless they weigh clearly more
     lexicon = {
         form: w for form, w in strong.items()
