@@ -27,7 +27,7 @@ def folder(spark, tmp_path_factory):
         rows[i][1] += "\n" + block
     rows.append([400, rows[1][1].replace("\n", " ")])
     rows[1][1] = rows[400 - 100][1] + " " + word()
-    rows.append([401, "plain words then password = abcdefgh12 and more of them here"])
+    rows.append([401, "plain words then password = abcdefgh12 with more of them here"])
     rows.append([402, rows[19][1]])
     rows += [[403, None], [404, ""], [405, "\n\n"]]
     path = str(tmp_path_factory.mktemp("tables"))
@@ -58,7 +58,7 @@ def test_stages(spark, folder):
     assert 400 not in near and 1 in near
     assert set(lines) - set(near) <= {400, 402}
     secrets = held["secret_scans"]
-    assert secrets[401].text == "plain words then [SECRET] and more of them here" and secrets[401].n_chars == len(secrets[401].text)
+    assert secrets[401].text == "plain words then [SECRET] with more of them here" and secrets[401].n_chars == len(secrets[401].text)
     assert all(secrets[i].text == near[i].text for i in near if i != 401) and set(secrets) == set(near)
     assert set(held["best_fit_packing"]) == set(secrets)
 
