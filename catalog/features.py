@@ -10,7 +10,7 @@ from textree.operators import features as ft
 from textree.plans.tfidf import document_tokens, tfidf_table
 
 SIZE = 500
-WIDE = 50
+WIDE = SIZE
 COUNTS_SQL = f"{KEPT_SQL}, counts AS (SELECT doc_id, token AS term, count(*) AS tf FROM kept GROUP BY ALL)"
 
 
@@ -73,7 +73,7 @@ def tfidf_wide(spark, sf_dir):
     docs = documents(spark, sf_dir).withColumn("ground_truth", english_doc())
     made = tfidf_table(docs, "doc_id", "text", WIDE, stemming=False)
     places = made.vocabulary.select("term", F.concat(F.lit("term_"), "term_idx").alias("name"))
-    # the vocabulary has WIDE rows
+    # the vocabulary has WIDE rows, whatever the size of the data
     named = made.values.join(F.broadcast(places), "term").select("doc_id", F.col("name").alias("term"), "tfidf")
     return ft.to_wide(named, docs, [f"term_{i}" for i in range(WIDE)], "doc_id")
 

@@ -144,7 +144,7 @@ def text_wide_sql() -> str:
 
     names = [f"term_{i}" for i in range(5)]
     columns = ", ".join(
-        f"coalesce(max(CASE WHEN term_idx = {i} THEN tfidf END), 0.0) AS term_{i}" for i in range(5)
+        f"coalesce(max(CASE WHEN term_idx = {i} THEN round(tfidf, 5) END), 0.0) AS term_{i}" for i in range(5)
     )
     return f"""{tfidf_sql(5)}, src AS (SELECT d.doc_id, {columns},
       any_value(CAST(CASE WHEN d.lang = 'en' THEN 1 ELSE 0 END AS INTEGER)) AS y

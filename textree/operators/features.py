@@ -188,16 +188,24 @@ def dense_matrix(
 
 
 def sparse_matrix(
-    values: DataFrame, labels: DataFrame, id_col: str, value_col: str = "tfidf", feature_col: str = "term"
+    values: DataFrame,
+    labels: DataFrame,
+    id_col: str,
+    value_col: str = "tfidf",
+    feature_col: str = "term",
+    digits: int | None = 5,
 ) -> Matrix:
     """From (id, feature, value) and (id, y): one shuffle brings each row's non-zero values together.
 
     A row holds at most one entry per feature, as a row of the wide table would. NULL counts as 0.0, and
-    rows of ``labels`` without values get an empty map.
+    rows of ``labels`` without values get an empty map. Values are rounded to ``digits`` places first, as in the
+    wide table; what rounds to 0 is not stored.
     """
-    cell = F.struct(F.col(feature_col), F.col(value_col).cast("double"))
+    value = F.col(value_col).cast("double")
+    value = value if digits is None else F.round(value, digits)
+    cell = F.struct(F.col(feature_col), value.alias(value_col))
     maps = (
-        values.filter(F.col(value_col) != 0.0)
+        values.filter(value != 0.0)
         .groupBy(id_col)
         .agg(F.map_from_entries(F.collect_list(cell)).alias("x"))
     )
