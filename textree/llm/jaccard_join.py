@@ -3,11 +3,11 @@
 The shingles of a document are put in one global order, frequent ones last. Two similar documents share at
 least ``m`` shingles of their prefixes if each prefix is ``m - 1`` longer than needed for one. Every document
 chooses its own ``m``: it lengthens its prefix while the saving in estimated candidates pays for the longer
-prefix, and a pair must share as many prefix shingles as the smaller of its two choices before it is verified
-on whole sets.
+prefix, and a pair must share as many prefix shingles as the smaller of its two choices before it is verified,
+first on short profiles that allow every similar pair, then on whole sets.
 
 Links come in rounds, so that groups of near copies are never written out as all pairs: first each document
-against one hub per prefix shingle, then one document of each component against a hub, and at last, without
+against the hub it shares most prefix shingles with, then one document of each component against a hub, and at last, without
 any limit, all remaining candidates whose ends are not yet connected. Documents with equal sets are one class.
 """
 
@@ -31,6 +31,7 @@ BUCKETS = 1 << 16  # of the frequency table; its size does not depend on the dat
 MOST_MATCHES = 8
 EMIT_COST = 1.0  # of one more prefix shingle, next to comparing one shingle in a verification
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+SUMMARY = ["kind", "id", "n", "digest", "profile"]
 MIXERS = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
 
@@ -67,32 +68,48 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
     return made[np.r_[True, made[1:] != made[:-1]]]
 
 
+def profile(shingles: np.ndarray) -> bytes | None:
+    """How many shingles lie in each of 256 parts of the hash range; None where a byte cannot hold a count."""
+    counts = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=256)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+def profiles_allow(x: bytes | None, y: bytes | None, percent: int) -> bool:
+    """Whether two sets can be similar enough: the smaller counts add up to at least what they share."""
+    if x is None or y is None:
+        return True
+    a, b = (np.frombuffer(p, np.uint8).astype(np.int64) for p in (x, y))
+    most = int(np.minimum(a, b).sum())
+    return 100 * most >= percent * (int(a.sum()) + int(b.sum()) - most)
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
 
 def _summary(texts: DataFrame, rule: Rule) -> Stored:
-    """One pass: per document its set's size and digest (kind 0), per task the shingles in each bucket (kind 1)."""
+    """One pass: per document its set's size, digest and profile (kind 0), per task the shingles in each bucket (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for start, slice_ in text_slices(batch, "text"):
-                sizes, digests, held = [], [], []
+                sizes, digests, profiles, held = [], [], [], []
                 for text in slice_:
                     shingles = shingle_set(text or b"", rule.words)
                     held.append((shingles % np.uint64(BUCKETS)).astype(np.int64))
                     sizes.append(len(shingles))
                     digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+                    profiles.append(profile(shingles))
                 counts += np.bincount(np.concatenate(held), minlength=BUCKETS)
                 ids = batch.column("doc_id").slice(start, len(slice_))
                 kind = pa.array(np.zeros(len(slice_), np.int32))
-                yield pa.RecordBatch.from_arrays([kind, ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], ["kind", "id", "n", "digest"])
+                yield pa.RecordBatch.from_arrays([kind, ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(profiles, pa.binary())], SUMMARY)
         met = np.flatnonzero(counts)
         kind, none = pa.array(np.ones(len(met), np.int32)), pa.nulls(len(met), pa.binary())
-        yield pa.RecordBatch.from_arrays([kind, pa.array(met), pa.array(counts[met]), none], ["kind", "id", "n", "digest"])
+        yield pa.RecordBatch.from_arrays([kind, pa.array(met), pa.array(counts[met]), none, none], SUMMARY)
 
-    return store(texts.mapInArrow(run, "kind int, id long, n long, digest binary"), "jaccard-summary")
+    return store(texts.mapInArrow(run, "kind int, id long, n long, digest binary, profile binary"), "jaccard-summary")
 
 
 def _excess(summary: DataFrame) -> np.ndarray:
@@ -156,28 +173,32 @@ def _prefixes(texts: DataFrame, classes: DataFrame, excess: np.ndarray, rule: Ru
     return chosen.mapInArrow(run, "token long, doc long, n int, level int, matches int")
 
 
-def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(doc, set) of the ``wanted`` documents, sets as bytes."""
+def _sets_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame, end: str, rule: Rule) -> DataFrame:
+    """``wanted`` (a and perhaps b) with the set of the document in column ``end``, computed where its text is read."""
+    names = wanted.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = (None, None)
         for batch in batches:
             for start, slice_ in text_slices(batch, "text"):
-                ids = batch.column("doc_id").slice(start, len(slice_)).to_pylist()
                 digests = batch.column("digest").slice(start, len(slice_)).to_pylist()
-                found = {}
-                for doc, digest, text in zip(ids, digests, slice_, strict=True):
-                    shingles = shingle_set(text or b"", rule.words).tobytes()
-                    if xxhash.xxh3_128_digest(shingles) == digest:
-                        found[doc] = shingles
-                yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.binary())], ["doc", "set"])
+                kept, sets = [], []
+                for row, (digest, text) in enumerate(zip(digests, slice_, strict=True), start):
+                    if last[0] != text:  # a document in several pairs has its rows side by side
+                        last = (text, shingle_set(text or b"", rule.words).tobytes())
+                    if xxhash.xxh3_128_digest(last[1]) == digest:
+                        kept.append(row)
+                        sets.append(last[1])
+                ends = [batch.column(x).take(pa.array(kept, pa.int64())) for x in names]
+                yield pa.RecordBatch.from_arrays([*ends, pa.array(sets, pa.binary())], [*names, f"set_{end}"])
 
-    firsts = classes.select(F.col("first").alias("_first"), "digest").join(wanted.select(F.col("doc").alias("_first")), "_first")
-    chosen = join_measured(texts, firsts, F.col("doc_id") == F.col("_first")).select("doc_id", "text", "digest")
-    return chosen.mapInArrow(run, "doc long, set binary").dropDuplicates(["doc"])
+    named = join_measured(classes.select(F.col("first").alias(end), "digest"), wanted, end)
+    chosen = join_measured(texts, named, F.col("doc_id") == F.col(end)).select(*names, "digest", "text")
+    return chosen.mapInArrow(run, ", ".join(f"{x} long" for x in names) + f", set_{end} binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, rule: Rule) -> Stored:
-    """The pairs (a, b) whose whole sets are similar enough."""
+    """The pairs (a, b) whose whole sets are similar enough. Of a pair, the set of b travels to the set of a."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,14 +210,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, rule: Rule
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     kept = store(pairs.select("a", "b"), "jaccard-pairs")
-    ends = kept.df.select(F.col("a").alias("doc")).unionAll(kept.df.select(F.col("b").alias("doc"))).distinct()
-    sets = store(_sets(texts, classes, ends, rule), "jaccard-sets")
-    left = sets.df.select(F.col("doc").alias("a"), F.col("set").alias("set_a"))
-    right = sets.df.select(F.col("doc").alias("b"), F.col("set").alias("set_b"))
-    # the pairs are narrow when they meet their first set; the second meets rows that carry one set each
-    links = store(kept.df.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long"), "jaccard-links")
+    left = _sets_of(texts, classes, kept.df.select("a").distinct(), "a", rule)
+    right = _sets_of(texts, classes, kept.df, "b", rule)
+    links = store(left.join(right, "a").mapInArrow(run, "a long, b long"), "jaccard-links")
     kept.release()
-    sets.release()
     return links
 
 
@@ -208,10 +225,30 @@ def _may_link(rule: Rule) -> Column:
 
 
 def _candidates(met: DataFrame) -> DataFrame:
-    """Pairs that share enough prefix shingles."""
-    ends = met.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"), "token", F.least("matches", "other_matches").alias("asked"))
-    counted = ends.groupBy("a", "b", "asked").agg(F.countDistinct("token").alias("shared"))
-    return counted.where("shared >= asked").select("a", "b")
+    """Pairs (doc, other) that share enough prefix shingles."""
+    asked = F.least("matches", "other_matches").alias("asked")
+    counted = met.groupBy("doc", "other", asked).agg(F.countDistinct("token").alias("shared"))
+    return counted.where("shared >= asked").select(F.col("other").alias("a"), F.col("doc").alias("b"), "shared")
+
+
+def _plausible(candidates: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Candidates that the profiles of both sets allow; no similar pair is lost."""
+    names = candidates.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = zip(batch.column("profile_a").to_pylist(), batch.column("profile_b").to_pylist(), strict=True)
+            allowed = [profiles_allow(x, y, rule.percent) for x, y in ends]
+            yield batch.select(names).filter(pa.array(allowed, pa.bool_()))
+
+    left, right = (classes.select(F.col("first").alias(x), F.col("profile").alias(f"profile_{x}")) for x in "ab")
+    return candidates.join(left, "a").join(right, "b").mapInArrow(run, candidates.select(names).schema)
+
+
+def _best_hub(candidates: DataFrame) -> DataFrame:
+    """One pair per document: with the hub it shares most with. The others wait for a later round."""
+    best = candidates.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
+    return best.select(F.col("best.a").alias("a"), "b")
 
 
 OTHER = {"doc": "other", "n": "other_n", "level": "other_level", "matches": "other_matches", "component": "other_component"}
@@ -242,8 +279,8 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     texts = _texts(docs, id_col, text_col)
     summary = _summary(texts, rule)
     excess = _excess(summary.df)
-    sets = summary.df.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "digest")
-    grouped = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"))
+    sets = summary.df.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "digest", "profile")
+    grouped = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("profile").alias("profile"))
     classes = store(grouped.where("first IS NOT NULL"), "jaccard-classes")
     prefixes = store(_prefixes(texts, classes.df, excess, rule), "jaccard-prefixes")
     shared = prefixes.df.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
@@ -252,7 +289,7 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
 
     fields = F.struct(F.xxhash64("doc").alias("draw"), "doc", "n", "level", "matches")
     hubs = rows.df.groupBy("token").agg(F.min(fields).alias("hub"))
-    links = _verified(_candidates(_with_hub(rows.df, hubs).where(_may_link(rule))), texts, classes.df, rule)
+    links = _verified(_best_hub(_plausible(_candidates(_with_hub(rows.df, hubs).where(_may_link(rule))), classes.df, rule)), texts, classes.df, rule)
     named = components(links.df)
 
     # another draw of hubs, one document of each component against them
@@ -261,19 +298,19 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     speakers = mixed.df.groupBy("token", "component").agg(F.min(fields).alias("s")).select("token", "s.*")
     hubs = speakers.groupBy("token").agg(F.min(fields).alias("hub"))
     met = _with_hub(speakers, hubs).where(_may_link(rule) & (F.col("component") != F.col("other_component")))
-    more = _verified(_candidates(met), texts, classes.df, rule)
+    more = _verified(_best_hub(_plausible(_candidates(met), classes.df, rule)), texts, classes.df, rule)
     named_again = components(links.df.unionAll(more.df))
 
     # the rest, whole: every candidate whose ends are not connected yet
     left = store(_labelled(rows.df, named_again.df), "jaccard-rows")
     right = left.df.select("token", *[F.col(old).alias(new) for old, new in OTHER.items()])
     met = left.df.join(right, "token").where((F.col("doc") < F.col("other")) & (F.col("component") != F.col("other_component")) & _may_link(rule))
-    rest = _verified(_candidates(met), texts, classes.df, rule)
+    rest = _verified(_plausible(_candidates(met), classes.df, rule), texts, classes.df, rule)
     done = components(links.df.unionAll(more.df).unionAll(rest.df))
 
     named_class = join_measured(classes.df, done.df.select(F.col("node").alias("first"), "component"), "first", "left")
     named_class = named_class.select("digest", F.coalesce("component", "first").alias("component"))
-    out = join_measured(sets, named_class, "digest", "left")
+    out = join_measured(sets.drop("profile"), named_class, "digest", "left")
     for used in (rows, mixed, left, links, more, rest, named, named_again):
         used.release()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
