@@ -7,8 +7,9 @@ prefix, and a pair must share as many prefix shingles as the smaller of its two
 first on short profiles that allow every similar pair, then on whole sets.
 
 Links come in rounds, so that groups of near copies are never written out as all pairs: first each document
-against the hub it shares most prefix shingles with, then one document of each component against a hub, and at last, without
-any limit, all remaining candidates whose ends are not yet connected. Documents with equal sets are one class.
+against one hub, then, twice, each document outside the main component of a prefix shingle against one drawn from
+inside it, and at last, without any limit, all remaining candidates whose ends are not yet connected. Documents with
+equal sets are one class.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from textree.storage import Stored, store
 
 BUCKETS = 1 << 16  # of the frequency table; its size does not depend on the data
 MOST_MATCHES = 8
+DRAWS = 4  # hubs per token in the later rounds
 EMIT_COST = 1.0  # of one more prefix shingle, next to comparing one shingle in a verification
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SUMMARY = ["kind", "id", "n", "digest", "profile"]
@@ -74,13 +76,18 @@ def profile(shingles: np.ndarray) -> bytes | None:
     return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
 
 
-def profiles_allow(x: bytes | None, y: bytes | None, percent: int) -> bool:
-    """Whether two sets can be similar enough: the smaller counts add up to at least what they share."""
+def most_similar(x: bytes | None, y: bytes | None) -> tuple[int, int]:
+    """Bounds (shared, union) of the similarity of two sets: the smaller counts add up to at least what they share."""
     if x is None or y is None:
-        return True
+        return 1, 1
     a, b = (np.frombuffer(p, np.uint8).astype(np.int64) for p in (x, y))
     most = int(np.minimum(a, b).sum())
-    return 100 * most >= percent * (int(a.sum()) + int(b.sum()) - most)
+    return most, int(a.sum()) + int(b.sum()) - most
+
+
+def profiles_allow(x: bytes | None, y: bytes | None, percent: int) -> bool:
+    shared, union = most_similar(x, y)
+    return 100 * shared >= percent * union
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -228,35 +235,52 @@ def _candidates(met: DataFrame) -> DataFrame:
     """Pairs (doc, other) that share enough prefix shingles."""
     asked = F.least("matches", "other_matches").alias("asked")
     counted = met.groupBy("doc", "other", asked).agg(F.countDistinct("token").alias("shared"))
-    return counted.where("shared >= asked").select(F.col("other").alias("a"), F.col("doc").alias("b"), "shared")
+    return counted.where("shared >= asked").select(F.col("other").alias("a"), F.col("doc").alias("b"))
 
 
 def _plausible(candidates: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Candidates that the profiles of both sets allow; no similar pair is lost."""
-    names = candidates.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends = zip(batch.column("profile_a").to_pylist(), batch.column("profile_b").to_pylist(), strict=True)
-            allowed = [profiles_allow(x, y, rule.percent) for x, y in ends]
-            yield batch.select(names).filter(pa.array(allowed, pa.bool_()))
+            bounds = [most_similar(x, y) for x, y in ends]
+            allowed = pa.array([100 * shared >= rule.percent * union for shared, union in bounds], pa.bool_())
+            bound = pa.array([shared / union for shared, union in bounds], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.select(["a", "b"]).columns, bound], ["a", "b", "bound"]).filter(allowed)
 
     left, right = (classes.select(F.col("first").alias(x), F.col("profile").alias(f"profile_{x}")) for x in "ab")
-    return candidates.join(left, "a").join(right, "b").mapInArrow(run, candidates.select(names).schema)
+    return candidates.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long, bound double")
 
 
 def _best_hub(candidates: DataFrame) -> DataFrame:
-    """One pair per document: with the hub it shares most with. The others wait for a later round."""
-    best = candidates.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
+    """One pair per document: with the hub whose profile is nearest. The others wait for a later round."""
+    best = candidates.groupBy("b").agg(F.max(F.struct("bound", "a")).alias("best"))
     return best.select(F.col("best.a").alias("a"), "b")
 
 
 OTHER = {"doc": "other", "n": "other_n", "level": "other_level", "matches": "other_matches", "component": "other_component"}
 
 
-def _with_hub(rows: DataFrame, hub: DataFrame) -> DataFrame:
-    named = hub.select("token", *[F.col(f"hub.{old}").alias(new) for old, new in OTHER.items() if old in hub.schema["hub"].dataType.names])
-    return join_measured(rows, named, "token").where("doc != other")
+def _speakers(labelled: DataFrame, salt: int) -> DataFrame:
+    """(token, draws, main): of the component with most rows at a token, ``DRAWS`` documents drawn by hash."""
+    fields = ["doc", "n", "level", "matches", "component"]
+    draws = [F.min(F.struct(F.xxhash64("doc", "token", F.lit(salt + i)).alias("draw"), *fields)).alias(f"d{i}") for i in range(DRAWS)]
+    by_component = labelled.groupBy("token", "component").agg(F.count("*").alias("rows"), *draws)
+    largest = F.max(F.struct("rows", F.col("component").alias("c"), *[f"d{i}" for i in range(DRAWS)])).alias("m")
+    main = by_component.groupBy("token").agg(largest)
+    return main.select("token", F.col("m.c").alias("main"), F.array_distinct(F.array(*[f"m.d{i}" for i in range(DRAWS)])).alias("draws"))
+
+
+def _hub_pairs(labelled: DataFrame, salt: int, rule: Rule) -> DataFrame:
+    """(a, b): every document outside the main component of a token with the ones drawn from inside.
+
+    Whether enough prefix shingles are shared is left to the profiles, since a document is drawn at few tokens.
+    """
+    outside = join_measured(labelled, _speakers(labelled, salt), "token").where("component != main")
+    met = outside.select(*labelled.columns, F.explode("draws").alias("hub"))
+    met = met.select(*labelled.columns, *[F.col(f"hub.{old}").alias(new) for old, new in OTHER.items()])
+    return met.where(_may_link(rule)).select(F.col("other").alias("a"), F.col("doc").alias("b")).distinct()
 
 
 def _labelled(rows: DataFrame, named: DataFrame) -> DataFrame:
@@ -267,6 +291,12 @@ def _labelled(rows: DataFrame, named: DataFrame) -> DataFrame:
     return join_measured(labelled, split.where("low < high").select("token"), "token", "left_semi")
 
 
+def _joined(named: Stored, links: Stored) -> Stored:
+    """Components of what was connected before and the new links."""
+    known = named.df.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(known.unionAll(links.df.select("a", "b")))
+
+
 def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for each row of ``docs``.
 
@@ -289,28 +319,30 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
 
     fields = F.struct(F.xxhash64("doc").alias("draw"), "doc", "n", "level", "matches")
     hubs = rows.df.groupBy("token").agg(F.min(fields).alias("hub"))
-    links = _verified(_best_hub(_plausible(_candidates(_with_hub(rows.df, hubs).where(_may_link(rule))), classes.df, rule)), texts, classes.df, rule)
+    named_hubs = hubs.select("token", *[F.col(f"hub.{old}").alias(new) for old, new in OTHER.items() if old != "component"])
+    met = join_measured(rows.df, named_hubs, "token").where((F.col("doc") != F.col("other")) & _may_link(rule))
+    links = _verified(_best_hub(_plausible(_candidates(met), classes.df, rule)), texts, classes.df, rule)
     named = components(links.df)
 
-    # another draw of hubs, one document of each component against them
-    mixed = store(_labelled(rows.df, named.df), "jaccard-rows")
-    fields = F.struct(F.xxhash64("doc", "token").alias("draw"), "doc", "n", "level", "matches", "component")
-    speakers = mixed.df.groupBy("token", "component").agg(F.min(fields).alias("s")).select("token", "s.*")
-    hubs = speakers.groupBy("token").agg(F.min(fields).alias("hub"))
-    met = _with_hub(speakers, hubs).where(_may_link(rule) & (F.col("component") != F.col("other_component")))
-    more = _verified(_best_hub(_plausible(_candidates(met), classes.df, rule)), texts, classes.df, rule)
-    named_again = components(links.df.unionAll(more.df))
+    # documents outside the main component of a token against several inside it, drawn anew each time
+    for salt in (0, DRAWS):
+        mixed = store(_labelled(rows.df, named.df), "jaccard-rows")
+        hubs = _plausible(_hub_pairs(mixed.df, salt, rule), classes.df, rule)
+        more = _verified(_best_hub(hubs), texts, classes.df, rule)
+        named, last = _joined(named, more), named
+        for used in (mixed, more, last):
+            used.release()
 
     # the rest, whole: every candidate whose ends are not connected yet
-    left = store(_labelled(rows.df, named_again.df), "jaccard-rows")
+    left = store(_labelled(rows.df, named.df), "jaccard-rows")
     right = left.df.select("token", *[F.col(old).alias(new) for old, new in OTHER.items()])
     met = left.df.join(right, "token").where((F.col("doc") < F.col("other")) & (F.col("component") != F.col("other_component")) & _may_link(rule))
     rest = _verified(_plausible(_candidates(met), classes.df, rule), texts, classes.df, rule)
-    done = components(links.df.unionAll(more.df).unionAll(rest.df))
+    done = _joined(named, rest)
 
     named_class = join_measured(classes.df, done.df.select(F.col("node").alias("first"), "component"), "first", "left")
     named_class = named_class.select("digest", F.coalesce("component", "first").alias("component"))
     out = join_measured(sets.drop("profile"), named_class, "digest", "left")
-    for used in (rows, mixed, left, links, more, rest, named, named_again):
+    for used in (rows, left, links, rest, named):
         used.release()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
