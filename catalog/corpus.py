@@ -109,6 +109,13 @@ def clean_chain(spark, sf_dir):
     return tx.clean(documents(spark, sf_dir).select("doc_id", "text"), "text", "cleaned")
 
 
+@query("clean_pages", f"SELECT page_id, {chain_sql('url')} AS cleaned FROM (SELECT page_id, concat('see ', url, ' ', html) AS url FROM pages)")
+def clean_pages(spark, sf_dir):
+    """Raw pages led by their address: the step that takes out addresses has something to do."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("see "), "url", F.lit(" "), "html").alias("text"))
+    return tx.clean(pages, "text", "cleaned", drop_duplicates=False).select("page_id", "cleaned")
+
+
 @query("clean_last", f"SELECT doc_id, text, {last_sql('text')} AS cleaned FROM documents WHERE trim(text) <> ''")
 def clean_last(spark, sf_dir):
     return tx.clean(documents(spark, sf_dir).select("doc_id", "text"), "text", "cleaned", mode="last")

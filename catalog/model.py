@@ -12,7 +12,8 @@ from textree.operators.features import dense_matrix, sparse_matrix
 from textree.plans import tree as tr
 from textree.plans.experiment import train_and_score
 from textree.plans.tfidf import tfidf_table
-from textree.storage import store
+from textree.sources import read_runs, write_report
+from textree.storage import new_path, store
 
 DEPTH = 2
 
@@ -262,3 +263,16 @@ def report(spark, sf_dir):
         F.col("`Train Set`.`num true`").alias("num_true"),
         "Test Set",
     )
+
+
+@query(
+    "report_roundtrip",
+    f"""WITH {RUN_SQL} SELECT CAST(2 AS INTEGER) AS instances, CAST(3 AS INTEGER) AS cores, CAST(100 AS INTEGER) AS n_columns,
+    round(roc, 9) AS area_under_roc, round(pr, 9) AS area_under_pr FROM scores""",
+)
+def report_roundtrip(spark, sf_dir):
+    """The report goes through its sink into a run folder and is found there by the scan of runs."""
+    path = new_path(spark, "analysis")
+    write_report(run(spark, sf_dir).report, f"{path}/instances2cores3/result100")
+    scores = {n: F.round(n, 9).alias(n) for n in ("area_under_roc", "area_under_pr")}
+    return read_runs(spark, path).select("instances", "cores", "n_columns", *scores.values())

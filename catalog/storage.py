@@ -57,6 +57,34 @@ def file_manifest(spark, sf_dir):
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
 
 
+@query(
+    "file_manifest_by_role",
+    "SELECT role, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM conversations WHERE text IS NOT NULL GROUP BY role",
+)
+def file_manifest_by_role(spark, sf_dir):
+    """Texts written one folder per role: what the manifest adds up to is every text and its line end."""
+    path = new_path(spark, "conversations-text")
+    kept = table(spark, sf_dir, "conversations").filter("text IS NOT NULL").select("role", F.col("text").alias("value"))
+    kept.write.partitionBy("role").text(path)
+    files = src.file_manifest(spark, path, "*.txt")
+    role = F.regexp_extract("path", "/role=([^/]*)/", 1)
+    return files.groupBy(role.alias("role")).agg(F.sum("length").alias("n_bytes"))
+
+
+@query(
+    "corpus_with_jsonl",
+    """SELECT text AS title, CAST(0 AS INTEGER) AS ground_truth FROM benchmark
+    UNION ALL SELECT DISTINCT text, CAST(1 AS INTEGER) FROM conversations WHERE text IS NOT NULL""",
+)
+def corpus_with_jsonl(spark, sf_dir):
+    """Rows of a JSON-lines set, all of label 1, put to a corpus of label 0."""
+    path = new_path(spark, "conversations-jsonl")
+    table(spark, sf_dir, "conversations").select("text").write.json(path)
+    added = src.read_jsonl(spark, path, label_col="ground_truth").withColumnRenamed("text", "title")
+    corpus = table(spark, sf_dir, "benchmark").select(F.col("text").alias("title"), F.lit(0).alias("ground_truth"))
+    return corpus.unionByName(added)
+
+
 @query("tree_save_load", f"WITH {LINES_TREE_SQL} SELECT {TREE_COLUMNS} FROM tree")
 def tree_save_load(spark, sf_dir):
     path = new_path(spark, "saved-tree")
