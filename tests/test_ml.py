@@ -1,4 +1,4 @@
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
@@ -37,3 +37,14 @@ def test_stage_settings_survive_saving(spark, tmp_path):
     TextCleaner(inputCol="a", outputCol="b", mode="last").save(str(tmp_path / "cleaner"))
     loaded = TextCleaner.load(str(tmp_path / "cleaner"))
     assert (loaded.getInputCol(), loaded.getOutputCol(), loaded.getOrDefault(loaded.mode)) == ("a", "b", "last")
+
+
+def test_a_fitted_pipeline_is_saved_whole(spark, tmp_path):
+    df = spark.createDataFrame([(float(i), i % 3, int(i > 20)) for i in range(60)], "a double, b int, ground_truth int")
+    fitted = Pipeline(stages=[GainRatioTreeClassifier(minSide=5).setLabelCol("ground_truth")]).fit(df)
+    fitted.write().overwrite().save(str(tmp_path / "pipeline"))
+    loaded = PipelineModel.load(str(tmp_path / "pipeline"))
+    assert loaded.stages[0].uid == fitted.stages[0].uid
+    want = sorted(map(tuple, fitted.transform(df).collect()))
+    assert sorted(map(tuple, loaded.transform(df).collect())) == want
+    assert TextCleaner().setInputCol("x").setOutputCol("y").getOutputCol() == "y"

@@ -7,7 +7,16 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +29,20 @@ LABEL = "ground_truth"
 INDEX = "Index"
 
 
-class TextCleaner(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+class Settable(Params):
+    """Setters that return the stage."""
+
+    def setInputCol(self, value: str):
+        return self._set(inputCol=value)
+
+    def setOutputCol(self, value: str):
+        return self._set(outputCol=value)
+
+    def setLabelCol(self, value: str):
+        return self._set(labelCol=value)
+
+
+class TextCleaner(Transformer, Settable, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Cleaned text in ``outputCol``; see ``operators.text.clean`` for the two modes."""
 
     mode = Param(Params._dummy(), "mode", "chain or last", typeConverter=TypeConverters.toString)
@@ -35,7 +57,7 @@ class TextCleaner(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return tx.clean(dataset, self.getInputCol(), self.getOutputCol(), self.getOrDefault(self.mode))
 
 
-class TokenStemmer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+class TokenStemmer(Transformer, Settable, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Stems of an array of tokens."""
 
     @keyword_only
@@ -47,7 +69,7 @@ class TokenStemmer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable
         return dataset.withColumn(self.getOutputCol(), stem_array(F.col(self.getInputCol())))
 
 
-class VectorExpander(Transformer, HasInputCol, DefaultParamsReadable, DefaultParamsWritable):
+class VectorExpander(Transformer, Settable, HasInputCol, DefaultParamsReadable, DefaultParamsWritable):
     """One double column per vocabulary word, rounded to five places, and the label; the rest is dropped."""
 
     vocabulary = Param(
@@ -67,7 +89,7 @@ class VectorExpander(Transformer, HasInputCol, DefaultParamsReadable, DefaultPar
         return ft.expand_array(arrays, "features_array", self.getOrDefault(self.vocabulary), label)
 
 
-class GainRatioTreeClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+class GainRatioTreeClassifier(Estimator, Settable, DefaultParamsReadable, DefaultParamsWritable):
     """Grows a tree on every column but the label and the index."""
 
     maxDepth = Param(Params._dummy(), "maxDepth", "deepest level", typeConverter=TypeConverters.toInt)
@@ -97,8 +119,8 @@ class GainRatioTreeClassifier(Estimator, DefaultParamsReadable, DefaultParamsWri
         return GainRatioTreeModel(tree)
 
 
-class GainRatioTreeModel(Model):
-    """``tree`` is the tree table; ``transform`` adds the column ``Prediction``."""
+class GainRatioTreeModel(Model, MLWritable, MLReadable):
+    """``tree`` is the tree table; ``transform`` adds the column ``Prediction``. Saved with its tree as Parquet."""
 
     def __init__(self, tree: DataFrame):
         super().__init__()
@@ -116,3 +138,28 @@ class GainRatioTreeModel(Model):
     @classmethod
     def load_tree(cls, spark, path: str) -> GainRatioTreeModel:
         return cls(tr.load(spark, path))
+
+    def write(self) -> MLWriter:
+        return TreeModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return TreeModelReader()
+
+
+class TreeModelWriter(MLWriter):
+    def __init__(self, model: GainRatioTreeModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.save_tree(f"{path}/tree")
+
+
+class TreeModelReader(MLReader):
+    def load(self, path: str) -> GainRatioTreeModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = GainRatioTreeModel.load_tree(self.sparkSession, f"{path}/tree")
+        model._resetUid(metadata["uid"])
+        return model
