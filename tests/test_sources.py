@@ -34,6 +34,18 @@ def test_feature_csv_types_by_name(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_strict_feature_csv_refuses_what_does_not_fit(spark, tmp_path):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Index,apple,ground_truth\n3000000000,0.5,1\n")
+    assert src.read_feature_csv(spark, str(folder), strict=True, long_index=True).first()["Index"] == 3_000_000_000
+    with pytest.raises(Exception):
+        src.read_feature_csv(spark, str(folder), strict=True).collect()
+    (folder / "b.csv").write_text("apple,Index,ground_truth\n0.5,1,1\n")
+    with pytest.raises(Exception):
+        src.read_feature_csv(spark, str(folder), strict=True, long_index=True).collect()
+
+
 def test_jsonl(spark, tmp_path):
     path = tmp_path / "d.jsonl"
     path.write_text('{"t": "a"}\n{"t": "a"}\n{"t": null}\n{"t": "b"}\n')
