@@ -1,7 +1,7 @@
 """From raw documents to packed training bins, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and all that its predecessor kept; all but the last return the columns of
-documents. Toxic documents go; repeated multi-line chunks are cut out, and with them documents that consist of
+documents. Toxic documents go; repeated runs of lines are cut out, and with them documents that consist of
 nothing else; of each group of near copies the smallest doc_id stays; secrets are overwritten; the rest is packed.
 """
 
@@ -32,8 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks go; a document of which nothing is left goes too, one that was empty stays."""
-    cut = line_chunks.dedup_line_chunks(docs, keep=("lang", "source"))
+    """Repeated runs of two or more lines go whole; a document of which nothing is left goes too, one that was empty stays."""
+    cut = line_chunks.dedup_line_runs(docs, keep=("lang", "source"))
     emptied = (F.col("n_removed_lines") > 0) & ~F.col("text").rlike(r"\S")
     return _documents(cut.where(F.coalesce(~emptied, F.lit(True))))
 

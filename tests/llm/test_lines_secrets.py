@@ -78,6 +78,92 @@ def test_line_dedup_of_equal_rows_null_ids_and_nothing(spark):
     assert line_chunks.dedup_line_chunks(frame(spark, [])).count() == 0
 
 
+def worded(text):
+    return any(x.isalnum() or x == "_" for x in text)
+
+
+def plain_windows(lines):
+    n, has = len(lines), [worded(x) for x in lines]
+    out = [(i, i + 1) for i in range(n - 1) if has[i] or has[i + 1]]
+    spots = [i for i in range(n) if has[i]]
+    if spots:
+        ends = [0, *spots, n - 1]
+        out += [(a, b) for a, b in zip(ends, ends[1:]) if b - a >= (2 if a == 0 or b == n - 1 else 4)]
+    return out
+
+
+def plain_runs(rows):
+    """Text with every line gone that lies in a window met earlier, in order of doc_id and place."""
+    met, out = {}, []
+    for i, text in sorted(rows, key=lambda r: r[0]):
+        lines = (text or "").split("\n")
+        gone = set()
+        for a, b in sorted(plain_windows(lines)):
+            where = met.setdefault("\n".join(lines[a : b + 1]), (i, a, b))
+            if where != (i, a, b) and not (where[0] == i and a <= where[2]):
+                gone.update(range(a, b + 1))
+        out.append((i, None if text is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)))
+    return out
+
+
+def repeated_runs(rows, least_words=50):
+    """(doc_id, first line, line after) of the longest runs of 2+ lines and over 50 words that stand in one earlier text."""
+    ended, found = {}, []
+    for i, text in sorted(rows, key=lambda r: r[0]):
+        lines = (text or "").split("\n")
+        lengths, before = [], {}
+        for k, line in enumerate(lines):
+            before = {(d, p): before.get((d, p - 1), 0) + 1 for d, p in ended.get(line, ())}
+            lengths.append(max(before.values(), default=0))
+        for k, n in enumerate(lengths):
+            longest = k + 1 == len(lines) or lengths[k + 1] <= n
+            if n >= 2 and longest and sum(len(x.split()) for x in lines[k + 1 - n : k + 1]) > least_words:
+                found.append((i, k + 1 - n, k + 1))
+        for k, line in enumerate(lines):
+            ended.setdefault(line, []).append((i, k))
+    return found
+
+
+def wholly_removed(runs, rows, got):
+    """Runs of which no line is left: all lines of the text but those of ``got``, matched in order."""
+    texts, whole = dict(rows), 0
+    for i, a, b in runs:
+        lines, left = texts[i].split("\n"), (got[i] or "").split("\n")
+        # with the run taken out, what is left must still be found in order
+        rest = iter(lines[:a] + lines[b:] + [""])
+        whole += all(x in rest for x in left)
+    return whole
+
+
+def test_line_runs_match_plain_python(spark):
+    gaps = "\n".join(["start", "", "", "", "", "mid", "---", "", "", "", "end x", "", "", ""])
+    more = [(200, gaps), (201, "own\n" + gaps), (202, gaps), (203, "\n\n\n" + gaps), (204, "a\na\na"), (205, "b\nb\nb\nb\nb")]
+    rows = line_rows() + more + [(206, "\u041f\u0435\u0440\n\u0432\u044b\u0439\nown"), (207, "\u041f\u0435\u0440\n\u0432\u044b\u0439\nother")]
+    got = line_chunks.dedup_line_runs(frame(spark, rows), keep=("chunk",))
+    assert got.columns == ["doc_id", "text", "n_lines", "n_removed_lines", "chunk"]
+    held = {r.doc_id: r for r in got.collect()}
+    assert sorted((i, r.text) for i, r in held.items()) == plain_runs(rows)
+    assert held[202].text == "" and held[204].text == "a\na\na" and held[205].text == "b\nb"
+    for i, text in rows:
+        n = len((text or "").split("\n"))
+        assert held[i].n_lines == n and (held[i].n_removed_lines == n or held[i].text is None or n - held[i].n_removed_lines == len(held[i].text.split("\n")))
+
+
+def test_line_runs_of_equal_rows_null_ids_and_nothing(spark):
+    text = "\n".join(f"x {i}" for i in range(40))
+    got = line_chunks.dedup_line_runs(frame(spark, [(1, text), (1, text), (2, "own"), (None, None), (3, text)]))
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == [(0, ""), (1, text), (1, text), (2, "own"), (3, "")]
+    assert line_chunks.dedup_line_runs(frame(spark, [])).count() == 0
+
+
+def test_line_runs_remove_all_long_passages_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    runs = repeated_runs(rows)
+    got = {r.doc_id: r.text for r in line_chunks.dedup_line_runs(docs).collect()}
+    assert len(runs) > 50 and wholly_removed(runs, rows, got) == len(runs)
+
+
 ASSIGN = re.compile(
     r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )

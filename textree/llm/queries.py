@@ -64,6 +64,11 @@ def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.dedup_line_chunks(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_line_runs(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
