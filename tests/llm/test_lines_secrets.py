@@ -78,6 +78,16 @@ def test_line_dedup_of_equal_rows_null_ids_and_nothing(spark):
     assert line_chunks.dedup_line_chunks(frame(spark, [])).count() == 0
 
 
+def test_repeated_passages_of_any_script_go(spark):
+    cyrillic = "\n".join("\u0441\u0442\u0440\u043e\u043a\u0430 " + "\u0430" * k for k in range(1, 40))
+    chinese, digits = "\n".join("\u4e2d\u6587" + "\u5b57" * k for k in range(1, 40)), "\n".join("\u0661" * k for k in range(1, 40))
+    marks = "\n".join("-*- " * k for k in range(1, 40))
+    rows = [(2 * k + copy, x) for k, x in enumerate([cyrillic, chinese, digits, marks]) for copy in (0, 1)]
+    got = {r.doc_id: r for r in line_chunks.dedup_line_chunks(frame(spark, rows)).collect()}
+    assert all(got[i].n_removed_lines >= 20 for i in (1, 3, 5))
+    assert all(got[i].text == x for i, x in rows if i % 2 == 0 or i > 5)
+
+
 def worded(text):
     return any(x.isalnum() or x == "_" for x in text)
 

@@ -65,14 +65,14 @@ def dedup_line_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The first occurrence is the one with the smallest doc_id (null ids first, then smaller text hash) and place.
     A text that is all repetition becomes empty; null texts stay null; empty ones stay empty. Chunks without a
-    ASCII letter, digit or underscore are never removed. Rows with the same id and text are one document: they lose the same
+    letter or digit (of any script) or underscore are never removed. Rows with the same id and text are one document: they lose the same
     chunks, and a chunk repeated only between them stays. An empty table gives an empty table; other columns
     are not read. Texts are taken whole; one row holds one text at most.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(x).alias(f"_keep_{x}") for x in keep])
     version = F.xxhash64("text").alias("version")
     placed = rows.select("doc_id", version, F.posexplode(chunk_list(F.col("text"), window)).alias("place", "chunk"))
-    placed = placed.where((line_count(F.col("chunk")) >= least_lines) & F.col("chunk").rlike("[0-9A-Za-z_]"))
+    placed = placed.where((line_count(F.col("chunk")) >= least_lines) & F.col("chunk").rlike(WORD))
     placed = placed.select(F.md5("chunk").alias("hash"), F.struct("doc_id", "version", "place").alias("here"), "chunk")
     # three passes over the texts: hashes, the chunks that are met again, and the result
     hashed = store(placed.select("hash", "here"), "line-hashes")
