@@ -23,6 +23,7 @@ from textree.storage import store
 
 FANOUT = 16
 BUCKET = 1 << 16  # ids of one bitmap
+PART_ROWS = 1 << 16  # rows of a bucket that are ranked in one group; beyond twice as many it is dealt to several
 HELD_IDS = 2_000_000  # ids a task gathers before it writes its bitmaps
 BITMAP = "g string, high long, bits binary, repeated binary, more binary"
 PATH = "array<struct<slot:int,run:array<string>>>"
@@ -172,7 +173,7 @@ def places(leaves: DataFrame) -> DataFrame:
     merged = parts.groupBy("g", "high").applyInArrow(_merged, BITMAP + ", n long")
     buckets = store(with_directory(store(merged, "merkle-bitmaps").df), "merkle-directory").df
     # ids that repeat may fill a bucket beyond its 65,536 ids: its rows are dealt to several parts
-    cuts = buckets.where(F.col("n") > 2 * BUCKET).select("g", "high", F.ceil(F.col("n") / BUCKET).cast("int").alias("cuts"))
+    cuts = buckets.where(F.col("n") > 2 * PART_ROWS).select("g", "high", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("cuts"))
     rows = join_measured(known.withColumn("high", F.shiftright("id", 16)), cuts, ["g", "high"], "left")
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("serial"), F.coalesce("cuts", F.lit(1))).cast("int"))
     maps = buckets.join(cuts, ["g", "high"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("cuts", F.lit(1)) - 1)))
