@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ BLANKS = b" \t"
 LONGEST = 5
 WINDOW_BYTES = 1 << 20  # hashed at once
 SLAB_BYTES = 8 << 20  # counted at once
+HELD_PHRASES = 500_000  # phrases whose counts a task adds up before it hands them on
 MOST_BITS = 1 << 28
 BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd, so that powers have inverses modulo 2^64
 MIXERS = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
@@ -221,6 +223,14 @@ def _phrases(texts: DataFrame, filters: list[Broadcast]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [Filter(x.value) for x in filters]
+        held: defaultdict[tuple[str, int], Counter] = defaultdict(Counter)
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for (lang, n), counts in held.items():
+                columns = [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()), pa.array([n] * len(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "rows"])
+            held.clear()
+
         for lang, slab in slabs(batches):
             ids = slab.word_ids()
             for n, frequent in enumerate(known, 1):
@@ -233,16 +243,15 @@ def _phrases(texts: DataFrame, filters: list[Broadcast]) -> DataFrame:
                 same = np.ones(len(firsts), bool)
                 for place in range(n):
                     same &= ids[firsts + place] == ids[model[group] + place]
-                phrases, counts = [slab.phrase(i, n) for i in model.tolist()], rows
                 if not same.all():  # another phrase under this fingerprint is counted on its own
-                    counts = rows - np.bincount(group[~same], minlength=len(rows))
-                    others = [slab.phrase(i, n) for i in firsts[~same].tolist()]
-                    phrases, counts = phrases + others, np.concatenate((counts, np.ones(len(others), np.int64)))
-                size = len(phrases)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * size, pa.string()), pa.array(phrases, pa.binary()), pa.array(np.full(size, n, np.int32)), pa.array(counts, pa.int64())],
-                    ["lang", "phrase", "words", "rows"],
-                )
+                    rows = rows - np.bincount(group[~same], minlength=len(rows))
+                counts = held[lang, n]
+                for first, times in zip(model.tolist(), rows.tolist(), strict=True):
+                    counts[slab.phrase(first, n)] += times
+                counts.update(slab.phrase(i, n) for i in firsts[~same].tolist())
+            if sum(map(len, held.values())) >= HELD_PHRASES:
+                yield from handed_on()
+        yield from handed_on()
 
     made = texts.mapInArrow(run, "lang string, phrase binary, words int, rows long")
     return made.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "words").agg(F.sum("rows").alias("rows"))
