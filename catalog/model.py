@@ -297,6 +297,12 @@ def tree_full_nodes(spark, sf_dir):
     return full_tree(spark, sf_dir)
 
 
+@query("tree_full_ranged")
+def tree_full_ranged(spark, sf_dir):
+    """Every level whose nodes have more than 1,000 values of a feature is searched in pieces."""
+    return full_tree(spark, sf_dir, max_group=1000)
+
+
 @query("tree_full_predict")
 def tree_full_predict(spark, sf_dir):
     return tr.predict(lines(spark, sf_dir, WIDE), full_tree(spark, sf_dir))

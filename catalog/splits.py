@@ -121,7 +121,8 @@ def candidates(spark, sf_dir):
 def candidates_ranged(spark, sf_dir):
     price = ["l_extendedprice"]
     hist, node = root_search(spark, sf_dir, price)
-    found = sp.candidates(sp.left_counts_ranged(hist), node, nodes_bytes=sp.NODE_BYTES).drop("entropy")
+    hist = store(hist, "hist").df
+    found = sp.candidates(sp.left_counts_ranged(hist, max_group=1000), node, nodes_bytes=sp.NODE_BYTES).drop("entropy")
     return named(found, price).withColumn("split", F.round("split", 9))
 
 

@@ -97,7 +97,7 @@ def want(spark):
     return grow(*arrays(lines(spark, SF_DIR, WIDE)), WIDE)
 
 
-@pytest.mark.parametrize("name", ["tree_full_nodes", "tree_full_save_load"])
+@pytest.mark.parametrize("name", ["tree_full_nodes", "tree_full_ranged", "tree_full_save_load"])
 def test_nodes(spark, want, name):
     got = QUERIES[name](spark, SF_DIR).collect()
     assert max(r["depth"] for r in got) > 2 and "l_extendedprice" in {r["feature"] for r in got}

@@ -88,7 +88,7 @@ def frame(spark, rows):
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"max_group": 5}, {"local_nodes": 0}, {"plan_levels": 1, "local_nodes": 2}],
+    [{}, {"max_group": 5}, {"local_nodes": 0}, {"plan_levels": 1, "local_nodes": 2}, {"keep_share": 0}, {"keep_share": 9.0, "keep_cells": 0, "max_group": 5}],
     ids=str,
 )
 def test_dense_tree_equals_plain_recursion(spark, options):
@@ -97,7 +97,7 @@ def test_dense_tree_equals_plain_recursion(spark, options):
     assert nested(tree) == grow(rows, "abcd", 10, 4)
 
 
-@pytest.mark.parametrize("options", [{}, {"max_group": 5, "local_nodes": 0}], ids=str)
+@pytest.mark.parametrize("options", [{"keep_share": 9.0, "keep_cells": 0}, {"max_group": 5, "local_nodes": 0, "keep_share": 0}], ids=str)
 def test_sparse_tree_equals_dense_tree(spark, options):
     rows = sample_rows(3, zeros=True)
     df = frame(spark, rows)
@@ -109,6 +109,58 @@ def test_sparse_tree_equals_dense_tree(spark, options):
         assert nested(tree) == want
 
 
+@pytest.mark.parametrize("sparse", [False, True])
+def test_children_from_the_smaller_one(spark, sparse):
+    """At most half of the rows of split nodes are looked at, and the bins are those of all rows."""
+    rows = sample_rows(5, zeros=True)
+    df = frame(spark, rows)
+    if sparse:
+        labels = df.select("id", F.col("ground_truth").alias("y"))
+        matrix = sparse_matrix(df.unpivot(["id"], ["a", "b", "c", "d"], "term", "tfidf"), labels, "id")
+    else:
+        matrix = dense_matrix(df, "abcd")
+    root = spark.createDataFrame([(1, *[sum(1 for _, y in rows if y == k) for k in (0, 1)])], "node_id long, n0 long, n1 long")
+    now = matrix.rows.selectExpr("1L AS node_id", "y", "x", "monotonically_increasing_id() AS salt")
+
+    def histogram(rows, nodes):
+        hist = sp.histogram(sp.long_rows(rows, sparse))
+        return sp.with_zero_bins(hist, nodes) if sparse else hist
+
+    def bins(hist):
+        return sorted(tuple(r[c] for c in ("node_id", "feature", "value", "n0", "n1")) for r in hist.collect())
+
+    for left_open, right_open in ((True, True), (True, False), (False, True)):
+        split = 0.05
+        side = [[k for k, (v, y) in enumerate(rows) if (v["b"] >= split) == right] for right in (False, True)]
+        l0, l1, r0, r1 = (sum(1 for k in s if rows[k][1] == y) for s in side for y in (0, 1))
+        level = spark.createDataFrame(
+            [(1, 0, "b", split, l0, l1, r0, r1, left_open, right_open, 2, 3)],
+            "node_id long, depth int, feature string, split double, l0 long, l1 long, r0 long, r1 long, left_open boolean, right_open boolean, left_id long, right_id long",
+        )
+        nodes = tr.children(level).filter("open").select("node_id", "n0", "n1")
+        halves = tr.route(now, level, matrix.names, halves=True)
+        assert 0 < halves.filter("built").count() <= len(rows) // 2
+        made = sp.child_histogram(sp.long_rows(halves.filter("built"), sparse), histogram(now, root), tr.family(level), sparse=sparse)
+        want = histogram(tr.route(now, level, matrix.names), nodes)
+        assert bins(made) == bins(want)
+
+
+@pytest.mark.parametrize("partitions", ["1", "7", "64"])
+def test_no_piece_is_longer_than_asked(spark, partitions):
+    rng = random.Random(4)
+    values = {round(rng.paretovariate(0.5), 6) for _ in range(3000)}
+    hist = spark.createDataFrame([(n, f, v, 1, i % 2) for n, f in ((1, 0), (1, 1), (2, 0)) for i, v in enumerate(values) if n == 1 or i < 10], "node_id long, feature int, value double, n0 long, n1 long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        pieces = sp._in_pieces(hist, sp.piece_bounds(hist, len(values), 40)).groupBy("node_id", "feature", "piece").count().collect()
+        assert max(r["count"] for r in pieces) <= 40 and len(pieces) > 2 * len(values) / 40
+        sums = [sorted(map(tuple, left.collect())) for left in (sp.left_counts(hist), sp.left_counts_ranged(hist, 40))]
+        assert sums[0] == sums[1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_numbering_of_very_large_levels(spark, monkeypatch):
     monkeypatch.setattr(tr, "NUMBER_ROWS", 0)
     rows = sample_rows(1)
@@ -173,7 +225,7 @@ def test_all_ways_of_scoring_agree(spark):
     matrix = dense_matrix(df, "abcd", keep=["id"])
     tree = tr.fit(matrix, max_depth=6, min_side=5)
     want = {r["id"]: r["prediction"] for r in tr.predict(df, tree, boundary="ge").collect()}
-    joined = tr.predict(df, tree, boundary="ge", case_nodes=0, plan_levels=2)
+    joined = tr.predict(df, tree, boundary="ge", case_nodes=0, limit=0, walk_levels=2)
     salted = tr.predict(df, tree, boundary="ge", case_nodes=0, limit=0)
     places = tr.predict_matrix(matrix, tree, boundary="ge")
     place_joins = tr.predict_matrix(matrix, tree, boundary="ge", case_nodes=0)
@@ -212,7 +264,7 @@ def test_midpoint_that_rounds_onto_a_value(spark):
         [(1, 0, a, 3, 1), (1, 0, b, 1, 3), (1, 0, 5.0, 2, 2)],
         "node_id long, feature int, value double, n0 long, n1 long",
     )
-    for left in (sp.left_counts(hist), sp.left_counts_ranged(hist, 3)):
+    for left in (sp.left_counts(hist), sp.left_counts_ranged(hist, 1)):
         for r in left.collect():
             below = [(n0, n1) for v, n0, n1 in ((a, 3, 1), (b, 1, 3), (5.0, 2, 2)) if v < r["split"]]
             assert (r["l0"], r["l1"]) == tuple(map(sum, zip(*below)) if below else (0, 0))
@@ -257,7 +309,7 @@ def deep_tree(spark, feature="b"):
     )
 
 
-WAYS = [{"case_nodes": 1000}, {}, {"case_nodes": 0, "limit": 0, "plan_levels": 3}]
+WAYS = [{"case_nodes": 1000}, {}, {"case_nodes": 0, "limit": 0, "walk_levels": 3}, {"case_nodes": 0, "limit": 0, "walk_levels": 1}]
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -293,3 +345,27 @@ def test_nested_columns_count_with_their_content(spark):
     assert size_in_bytes(spark.createDataFrame([(bytes(5000), None)], "b binary, n array<array<int>>")) > 5000
     with pytest.raises(ValueError):
         size_in_bytes(spark.sql("SELECT INTERVAL '1' MONTH AS i"))
+
+
+def test_a_tree_of_a_hundred_levels_takes_twenty_joins(spark, monkeypatch):
+    """A chain with a leaf at every level, and bushy ends, walked in subtrees of five levels."""
+    rng = random.Random(8)
+    nodes, at, serial = [], 1, 2
+    for depth in range(100):
+        left, right = serial, serial + 1
+        serial += 2
+        nodes.append((at, None, depth, rng.choice("ab"), rng.random(), left, right, None))
+        on, off = (left, right) if rng.random() < 0.5 else (right, left)
+        nodes.append((off, at, depth + 1, None, None, None, None, depth % 2))
+        at = on
+    nodes.append((at, None, 100, None, None, None, None, 1))
+    parent = {c: n[0] for n in nodes for c in (n[5], n[6]) if c}
+    nodes = [(n[0], parent.get(n[0]), *n[2:], 0, 0) for n in nodes]
+    tree = spark.createDataFrame(nodes, "node_id long, parent_id long, depth int, feature string, split double, left_id long, right_id long, label int, n0 long, n1 long")
+    df = spark.createDataFrame([(i, rng.random(), rng.random()) for i in range(500)], "id int, a double, b double")
+    want = {r["id"]: r["prediction"] for r in tr.predict(df, tree, case_nodes=0).collect()}
+    joins = []
+    real = tr.join_small
+    monkeypatch.setattr(tr, "join_small", lambda *args, **options: joins.append(1) or real(*args, **options))
+    got = {r["id"]: r["prediction"] for r in tr.predict(df, tree, case_nodes=0, limit=0).collect()}
+    assert got == want and len(joins) == 21  # levels 0 to 100

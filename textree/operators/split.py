@@ -6,6 +6,7 @@ with ``entropy`` added by ``node_stats``; ``candidates`` (node_id, feature, spli
 
 from __future__ import annotations
 
+import math
 import sys
 
 from pyspark.sql import DataFrame
@@ -50,6 +51,35 @@ def with_zero_bins(hist: DataFrame, nodes: DataFrame, nodes_bytes: int | None =
     return hist.unionByName(zeros.filter("n0 + n1 > 0"))
 
 
+def child_histogram(
+    small: DataFrame, parents: DataFrame, splits: DataFrame, splits_bytes: int | None = None, sparse: bool = False
+) -> DataFrame:
+    """Histogram of the open children of a level from the rows of the smaller child of each split alone.
+
+    ``small`` holds (node_id, y, feature, value) of those rows, ``parents`` the histogram of the level above and
+    ``splits`` its splits with the ``family`` columns. The larger child is what its parent has beyond the smaller one.
+    Both are summed by the parent's bins, so one shuffle of bins serves both children.
+    """
+    ids = splits.selectExpr("node_id", "small_id", "big_id", "small_open", "big_open", "small0", "small1")
+    up = join_small(small, ids.selectExpr("node_id AS up", "small_id AS node_id"), ["node_id"], "inner", ["feature", "value"], splits_bytes)
+    above = join_small(parents, ids.select("node_id"), ["node_id"], "left_semi", ["feature", "value"], splits_bytes)
+    cell = "named_struct('value', value, 's0', CAST(1 - y AS BIGINT), 's1', CAST(y AS BIGINT))"
+    if sparse:
+        # of the parent's zeros the smaller child has all its rows, less one for each value it stores
+        cells = f"inline(array({cell}, named_struct('value', 0.0D, 's0', CAST(y - 1 AS BIGINT), 's1', CAST(-y AS BIGINT))))"
+        zeros = join_small(above.filter("value = 0.0").select(*GROUP), ids.select("node_id", "small0", "small1"), ["node_id"], "inner", ["feature"], splits_bytes)
+        counts = up.selectExpr("up AS node_id", "feature", cells).unionByName(zeros.selectExpr(*GROUP, "0.0D AS value", "small0 AS s0", "small1 AS s1"))
+    else:
+        counts = up.selectExpr("up AS node_id", "feature", f"inline(array({cell}))")
+    counts = counts.selectExpr(*GROUP, "value", "0L AS p0", "0L AS p1", "s0", "s1")
+    parts = counts.unionByName(above.selectExpr(*GROUP, "value", "n0 AS p0", "n1 AS p1", "0L AS s0", "0L AS s1"))
+    summed = parts.groupBy(*GROUP, "value").agg(*[F.sum(c).alias(c) for c in ("p0", "p1", "s0", "s1")]).filter("p0 + p1 > 0")
+    both = join_small(summed, ids.drop("small0", "small1"), ["node_id"], "inner", ["feature", "value"], splits_bytes)
+    child = "named_struct('node_id', {0}_id, 'feature', feature, 'value', value, 'n0', {1}, 'n1', {2}, 'open', {0}_open)"
+    pair = f"inline(array({child.format('small', 's0', 's1')}, {child.format('big', 'p0 - s0', 'p1 - s1')}))"
+    return both.selectExpr(pair).filter("open AND n0 + n1 > 0").drop("open")
+
+
 def _left_side(table: DataFrame) -> DataFrame:
     """Counts below each midpoint from (value, next_value, n0, n1, run0, run1).
 
@@ -85,24 +115,46 @@ def left_counts(hist: DataFrame) -> DataFrame:
     return _left_side(_running(hist, GROUP))
 
 
-def left_counts_ranged(
-    hist: DataFrame, parts: int | None = None, stored: list[Stored] | None = None
-) -> DataFrame:
+def piece_bounds(hist: DataFrame, largest: int, max_group: int) -> DataFrame:
+    """Where groups of more than ``max_group`` values are cut: (node_id, feature, bounds, heads).
+
+    The bounds come from a quantile sketch of each such group, merged over tasks. With p pieces and a rank error of
+    n / 8p no piece exceeds ``max_group``, for any distribution of values and any number of shuffle partitions.
+    """
+    pieces = max(2, -(-2 * largest // max_group))
+    shares = [i / pieces for i in range(1, pieces)]
+    sizes = hist.groupBy(*GROUP).agg(F.count("*").alias("n")).filter(F.col("n") > max_group)
+    large = join_small(hist, sizes.select(*GROUP), GROUP, "inner", ["value"])
+    found = large.groupBy(*GROUP).agg(F.percentile_approx("value", shares, 8 * pieces).alias("bounds"))
+    step = math.isqrt(pieces)
+    heads = f"transform(sequence(0, size(bounds) - 1, {step}), i -> bounds[i])"
+    return found.selectExpr(*GROUP, "array_sort(array_distinct(bounds)) AS bounds").selectExpr("*", f"{heads} AS heads", f"{step} AS step")
+
+
+def _in_pieces(hist: DataFrame, bounds: DataFrame) -> DataFrame:
+    """``piece``: how many bounds of its group lie below a value, looked up in two steps of the root of their number."""
+    met = join_small(hist, bounds, GROUP, "left", ["value"])
+    met = met.withColumn("_head", F.expr("size(filter(heads, b -> b < value))"))
+    inside = "(_head - 1) * step + size(filter(slice(bounds, (_head - 1) * step + 1, step), b -> b < value))"
+    piece = f"CASE WHEN bounds IS NULL OR _head = 0 THEN 0 ELSE {inside} END"
+    return met.withColumn("piece", F.expr(piece)).drop("bounds", "heads", "step", "_head")
+
+
+def left_counts_ranged(hist: DataFrame, max_group: int = MAX_GROUP, largest: int | None = None, stored: list[Stored] | None = None) -> DataFrame:
     """The same counts when one (node, feature) has more values than one task should sort.
 
-    The histogram is range-partitioned by (node, feature, value), so a large group is cut into pieces of
-    consecutive values. Pieces are summed on their own; what lies before a piece, and the value that
-    follows it, come from a table with one row per piece. The cut is stored; it is added to ``stored`` for
-    the caller to release once the counts are used.
+    Larger groups are cut into pieces of consecutive values, at most ``max_group`` in each whatever the session's
+    settings. Pieces are summed on their own; what lies before a piece, and the value that follows it, come from a
+    table with one row per piece. ``hist`` should be stored. The bounds are stored and added to ``stored`` for the
+    caller to release once the counts are used.
     """
     by = [*GROUP, "piece"]
-    keys = [*GROUP, "value"]
-    ranged = hist.repartitionByRange(parts, *keys) if parts else hist.repartitionByRange(*keys)
+    largest = largest_group(hist) if largest is None else largest
     # stored, because both uses below must see the same cut
-    cut = store(ranged.withColumn("piece", F.spark_partition_id()), "pieces")
+    bounds = store(piece_bounds(hist, largest, max_group), "bounds")
     if stored is not None:
-        stored.append(cut)
-    pieces = cut.df
+        stored.append(bounds)
+    pieces = _in_pieces(hist, bounds.df)
     order = "(PARTITION BY node_id, feature ORDER BY piece)"
     before = order.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     edges = (

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,12 @@ NUMBER_ROWS = 1_000_000
 CASE_NODES = 200
 # Level joins that may pile up in one plan before the rows are stored again.
 PLAN_LEVELS = 6
+# Levels of a tree beyond a broadcast that one join walks through.
+WALK_LEVELS = 5
+# A level's histogram is kept for the next one while it has at most this part of the cells it was built from.
+KEEP_SHARE = 0.5
+# Below so many cells a level is built from all its rows: less work than a stored table.
+KEEP_CELLS = 1_000_000
 
 WINNERS = pa.schema(
     [
@@ -80,8 +87,8 @@ class Level:
     stored: Stored | None
 
 
-def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bool]:
-    """Class totals and whether the root is open, after refusing other labels and NaN features."""
+def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bool, float]:
+    """Class totals, whether the root is open and the cells of a row, after refusing other labels and NaN features."""
     values = "map_values(x)" if sparse else "x"
     found = (
         rows.selectExpr(
@@ -89,6 +96,7 @@ def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bo
             "count_if(y = 1) AS n1",
             "count_if(y NOT IN (0, 1)) AS bad",
             f"count_if(exists({values}, v -> isnan(v))) AS nan",
+            "coalesce(avg(size(x)), 0D) AS cells",
         )
         .selectExpr("*", f"{rule.opens('n0', 'n1', 0)} AS open")
         .first()
@@ -97,7 +105,7 @@ def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bo
         raise ValueError(f"{found['bad']} rows have a label that is neither 0 nor 1")
     if found["nan"]:
         raise ValueError(f"{found['nan']} rows hold a NaN feature")
-    return found["n0"], found["n1"], found["open"]
+    return found["n0"], found["n1"], found["open"], found["cells"]
 
 
 def _store_spread(rows: DataFrame) -> Stored:
@@ -130,21 +138,43 @@ def children(winners: DataFrame) -> DataFrame:
     return winners.selectExpr(f"inline(array({child('left')}, {child('right')}))")
 
 
+def family(winners: DataFrame) -> DataFrame:
+    """The splits with an open child, each with its smaller and its larger child."""
+    small = "l0 + l1 <= r0 + r1"
+
+    def pick(left: str, right: str) -> str:
+        return f"CASE WHEN {small} THEN {left} ELSE {right} END"
+
+    return winners.filter("left_open OR right_open").selectExpr(
+        "*",
+        f"{small} AS left_small",
+        f"{pick('left_id', 'right_id')} AS small_id",
+        f"{pick('right_id', 'left_id')} AS big_id",
+        f"{pick('left_open', 'right_open')} AS small_open",
+        f"{pick('right_open', 'left_open')} AS big_open",
+        f"{pick('l0', 'r0')} AS small0",
+        f"{pick('l1', 'r1')} AS small1",
+    )
+
+
 def route(
-    rows: DataFrame, winners: DataFrame, names: tuple[str, ...] | None, winners_bytes: int | None = None
+    rows: DataFrame, winners: DataFrame, names: tuple[str, ...] | None, winners_bytes: int | None = None, halves: bool = False
 ) -> DataFrame:
-    """Move the rows of split nodes to the children that stay open; all other rows are done."""
+    """Move the rows of split nodes to the children that stay open; all other rows are done.
+
+    ``built`` marks the rows whose cells the next histogram needs. With ``halves`` these are the rows of the smaller
+    child of each split, which are then kept for one level even if only the larger child is open.
+    """
     sparse = names is None
     place = F.col("feature") if sparse else _place(names)
-    steps = winners.select(
-        "node_id", place.alias("place"), "split", "left_id", "right_id", "left_open", "right_open"
-    )
+    flags = ["left_small", "small_open", "big_open"]
+    steps = family(winners).select("node_id", place.alias("place"), "split", "left_id", "right_id", *flags)
     met = join_small(rows, steps, ["node_id"], "inner", ["salt"], winners_bytes)
     right = _value_at("x", F.col("place"), sparse) >= F.col("split")
-    return (
-        met.withColumn("_right", right)
-        .filter("CASE WHEN _right THEN right_open ELSE left_open END")
-        .selectExpr("CASE WHEN _right THEN right_id ELSE left_id END AS node_id", "y", "x", "salt")
+    met = met.withColumn("_right", right).withColumn("_small", F.expr("_right != left_small"))
+    kept = "_small OR big_open" if halves else "CASE WHEN _small THEN small_open ELSE big_open END"
+    return met.filter(kept).selectExpr(
+        "CASE WHEN _right THEN right_id ELSE left_id END AS node_id", "y", "x", "salt", "_small AS built" if halves else "true AS built"
     )
 
 
@@ -153,22 +183,24 @@ def _place(names: Sequence[str]) -> Column:
     return (F.array_position(F.lit(list(names)), F.col("feature")) - 1).cast("int")
 
 
-def best_splits(
-    rows: DataFrame, nodes: DataFrame, n_nodes: int, biggest: int, sparse: bool, rule: Rule
-) -> tuple[DataFrame, list[Stored]]:
-    """The best split of every open node, and what had to be stored on the way."""
-    nodes_bytes = n_nodes * sp.NODE_BYTES
+def level_histogram(rows: DataFrame, nodes: DataFrame, n_nodes: int, sparse: bool, above: tuple[DataFrame, Level] | None) -> DataFrame:
+    """Bins of all open nodes: from all their rows, or, given the histogram above and its splits, from the smaller children."""
+    if above:
+        parents, level = above
+        cells = sp.long_rows(rows.filter("built"), sparse)
+        return sp.child_histogram(cells, parents, family(level.winners), level.winners_bytes, sparse)
     hist = sp.histogram(sp.long_rows(rows, sparse))
-    if sparse:
-        hist = sp.with_zero_bins(hist, nodes, nodes_bytes)
-    kept, ranged = [], False
-    # a group has no more values than its node has rows, so small nodes need no look
-    if biggest > rule.max_group:
-        kept.append(store(hist, "hist"))
-        hist = kept[0].df
-        ranged = sp.largest_group(hist) > rule.max_group
-    left = sp.left_counts_ranged(hist, stored=kept) if ranged else sp.left_counts(hist)
-    gains = sp.gain_ratio(sp.candidates(left, nodes, nodes_bytes), rule.min_side)
+    return sp.with_zero_bins(hist, nodes, n_nodes * sp.NODE_BYTES) if sparse else hist
+
+
+def best_splits(hist: DataFrame, nodes: DataFrame, n_nodes: int, largest: int, rule: Rule) -> tuple[DataFrame, list[Stored]]:
+    """The best split of every open node, and what had to be stored on the way. ``largest`` bounds the values of a group."""
+    kept: list[Stored] = []
+    if largest > rule.max_group:
+        left = sp.left_counts_ranged(hist, rule.max_group, largest, kept)
+    else:
+        left = sp.left_counts(hist)
+    gains = sp.gain_ratio(sp.candidates(left, nodes, n_nodes * sp.NODE_BYTES), rule.min_side)
     return sp.best(gains, rule.gain_digits), kept
 
 
@@ -221,6 +253,8 @@ def fit(
     max_group: int = sp.MAX_GROUP,
     plan_levels: int = PLAN_LEVELS,
     local_nodes: int = LOCAL_NODES,
+    keep_share: float = KEEP_SHARE,
+    keep_cells: int = KEEP_CELLS,
 ) -> DataFrame:
     """Grow the tree: one job per depth for all its nodes.
 
@@ -228,6 +262,11 @@ def fit(
     and one line per node travel. A node becomes a leaf when its entropy is at most ``entropy_stop``, at
     ``max_depth``, or when no split leaves more than ``min_side`` rows on each side. Levels of up to
     ``local_nodes`` nodes hand their splits to the driver; larger ones stay tables.
+
+    While a level's histogram has at most ``keep_share`` of the cells it sums up, it is stored, and the next level
+    looks at the rows of the smaller child of each split only; the larger child is the difference. Values that hardly
+    repeat would make such a histogram as large as the rows, so there (and in levels of fewer than ``keep_cells`` cells)
+    every open row is looked at. The tree is the same.
     """
     if min_side < 0:
         raise ValueError("min_side must not be negative")
@@ -235,15 +274,30 @@ def fit(
     spark, names = matrix.rows.sparkSession, matrix.names
     salt = F.monotonically_increasing_id().alias("salt")
     rows_at = _store_spread(matrix.rows.select("y", "x").dropna(subset=["y"]).select("y", "x", salt))
-    n0, n1, is_open = _check_root(rows_at.df, matrix.sparse, rule)
+    n0, n1, is_open, row_cells = _check_root(rows_at.df, matrix.sparse, rule)
     rows = rows_at.df.withColumn("node_id", F.lit(1).cast("long"))
     root = pa.table({"node_id": [1], "n0": [n0], "n1": [n1]})
     nodes = sp.node_stats(spark.createDataFrame(root), entropy_digits)
     n_nodes, biggest, stored_rows = int(is_open), n0 + n1, n0 + n1
     depth, next_id, piled, levels = 0, 2, 0, []
+    active, halves, above = n0 + n1, keep_share > 0, None
 
     while n_nodes:
-        found, kept = best_splits(rows, nodes, n_nodes, biggest, matrix.sparse, rule)
+        hist, kept, last = level_histogram(rows, nodes, n_nodes, matrix.sparse, above and (above.df, levels[-1])), [], above
+        above, halves = None, halves and row_cells * active >= keep_cells
+        # a group has no more values than its node has rows, so small nodes need no look
+        if halves or biggest > max_group:
+            made = store(hist, "hist")
+            hist = made.df
+            halves = halves and hist.count() <= keep_share * row_cells * active
+            if halves:
+                above = made
+            else:
+                kept.append(made)
+            if biggest > max_group:
+                biggest = sp.largest_group(hist)
+        found, cut = best_splits(hist, nodes, n_nodes, biggest, rule)
+        kept += cut
         if not matrix.sparse:
             found = found.withColumn("feature", F.element_at(F.lit(list(names)), F.col("feature") + 1))
         found = found.selectExpr(
@@ -262,23 +316,25 @@ def fit(
             level = _local_level(spark, found, next_id)
         else:
             level = _stored_level(found, n_nodes, next_id)
-        for part in kept:
+        for part in kept + ([last] if last else []):
             part.release()
         levels.append(level)
-        n_nodes, biggest = level.n_open, level.biggest
+        n_nodes, biggest, active = level.n_open, level.biggest, level.active
         next_id += 2 * level.n_splits
         depth += 1
         if not n_nodes:
             break
         nodes = sp.node_stats(children(level.winners).filter("open"), entropy_digits)
-        rows = route(rows, level.winners, names, level.winners_bytes)
+        rows = route(rows, level.winners, names, level.winners_bytes, halves)
         piled += 1
         if piled >= plan_levels or level.active * 2 <= stored_rows:
-            fresh = store(rows.select("y", "x", "salt", "node_id"), "rows")
+            fresh = store(rows.select("y", "x", "salt", "node_id", "built"), "rows")
             rows_at.release()
             rows_at, rows, stored_rows, piled = fresh, fresh.df, level.active, 0
 
     rows_at.release()
+    if above:
+        above.release()
     tree = store(_assemble(spark, n0, n1, levels), "tree").df
     for level in levels:
         if level.stored:
@@ -379,36 +435,61 @@ def _walker(nodes: list[dict], names: Sequence[str], boundary: str, kind) -> Cal
     return walk
 
 
-def _walk_by_joins(rows: DataFrame, tree: DataFrame, names: Sequence[str], boundary: str, plan_levels: int, limit: int) -> DataFrame:
-    """Level-wise scoring of (_row, _x) for a tree that is not broadcast. Rows get a number to be salted by, so that
-    copies part as well; only the number, the values and the node are carried and stored on the way."""
-    steps = tree.filter("feature IS NOT NULL").select(
-        "depth", F.col("node_id").alias("_node"), _place(names).alias("_place"), "split", "left_id", "right_id"
+def packed_subtrees(tree: DataFrame, names: Sequence[str], levels: int) -> DataFrame:
+    """The tree cut into subtrees of ``levels`` levels: (_node, _depth, _at, _nodes), one row for each.
+
+    ``_nodes`` is an array of at most 2^(levels + 1) - 1 entries in order of node_id, the subtree's root at place
+    ``_at`` (from 1). An entry is a split, with the places of its children, a leaf with its label, or the root of a
+    subtree below, whose id is in ``next``.
+    """
+    nodes = tree.select("node_id", "depth", _place(names).alias("place"), "split", "left_id", "right_id", "label")
+    links = tree.filter("feature IS NOT NULL").select(F.col("node_id").alias("up"), (F.col("depth") + 1).alias("depth"), F.explode(F.array("left_id", "right_id")).alias("node_id"))
+    inside = nodes.filter(F.col("depth") % levels == 0).select("node_id", F.col("node_id").alias("_node"))
+    members = [inside.withColumn("below", F.lit(False))]
+    for step in range(1, levels + 1):
+        kids = links.filter(F.col("depth") % levels == step % levels)
+        inside = kids.join(inside.select(F.col("node_id").alias("up"), "_node"), "up").select("node_id", "_node")
+        members.append(inside.withColumn("below", F.lit(step == levels)))
+    entries = reduce(DataFrame.unionByName, members).join(nodes, "node_id")
+    # the root of a subtree below is an entry of its own subtree as a split or a leaf, and of the one above as a link
+    listed = entries.groupBy("_node").agg(F.array_sort(F.collect_list(F.struct("node_id", "below", "place", "split", "left_id", "right_id", "label"))).alias("l"))
+    entry = (
+        "named_struct('place', CASE WHEN NOT e.below THEN e.place END, 'split', e.split, 'left_at', array_position(l.node_id, e.left_id), "
+        "'right_at', array_position(l.node_id, e.right_id), 'label', e.label, 'next', CASE WHEN e.below THEN e.node_id END)"
     )
+    depths = nodes.selectExpr("node_id AS _node", "depth AS _depth")
+    return listed.selectExpr("_node", "array_position(l.node_id, _node) AS _at", f"transform(l, e -> {entry}) AS _nodes").join(depths, "_node")
+
+
+def _walk_by_joins(rows: DataFrame, tree: DataFrame, names: Sequence[str], boundary: str, levels: int, limit: int) -> DataFrame:
+    """Scoring of (_row, _x) with a tree that is not broadcast: one join for every ``levels`` levels, in which a row
+    meets a packed subtree and walks through it. Rows get a number to be salted by, so that copies part as well; only
+    the number, the values and the node are carried, and rows that have reached a leaf are not joined again."""
     whole = store(rows.withColumn("_number", F.monotonically_increasing_id()), "walk")
-    carried = ["_number", "_x"]
-    now = whole.df.select(*carried).withColumn("_node", F.lit(1).cast("long"))
-    deepest = steps.agg(F.coalesce(F.max("depth"), F.lit(-1))).first()[0]
-    last = None
-    for depth in range(deepest + 1):
-        level = steps.filter(F.col("depth") == depth).drop("depth")
-        met = join_small(now, level, ["_node"], "left", ["_number"], limit=limit)
-        right = _goes_right(_value_at("_x", F.col("_place"), False), F.col("split"), boundary)
-        child = F.when(right, F.col("right_id")).otherwise(F.col("left_id"))
-        now = met.select(*carried, F.coalesce(child, F.col("_node")).alias("_node"))
-        if (depth + 1) % plan_levels == 0 and depth < deepest:
-            fresh = store(now, "walk")
-            if last:
-                last.release()
-            last, now = fresh, fresh.df
-    leaves = tree.filter("feature IS NULL").select(F.col("node_id").alias("_node"), F.col("label").alias("_label"))
-    scored = join_small(now, leaves, ["_node"], "inner", ["_number"], limit=limit).select("_number", "_label")
-    return whole.df.select("_number", "_row").join(scored, "_number")
+    packed = store(packed_subtrees(tree, names, levels), "subtrees")
+    deepest = packed.df.agg(F.max("_depth")).first()[0]
+    now = whole.df.select("_number", "_x", F.lit(1).cast("long").alias("_node"))
+    sign = ">" if boundary == "gt" else ">="
+    node = "element_at(_nodes, CAST(i AS INT))"
+    step = f"CASE WHEN {node}.place IS NULL THEN i WHEN get(_x, {node}.place) {sign} {node}.split THEN {node}.right_at ELSE {node}.left_at END"
+    ended = f"element_at(_nodes, CAST(aggregate(sequence(1, {levels}), _at, (i, _) -> {step}) AS INT))"
+    layers = []
+    for depth in range(0, deepest + 1, levels):
+        layer = packed.df.filter(F.col("_depth") == depth).drop("_depth")
+        met = join_small(now, layer, ["_node"], "inner", ["_number"], limit=limit).withColumn("_end", F.expr(ended))
+        met = met.select("_number", F.expr("CASE WHEN _end.next IS NOT NULL THEN _x END").alias("_x"), F.col("_end.next").alias("_node"), F.col("_end.label").alias("_label"))
+        layers.append(store(met, "walk"))
+        now = layers[-1].df.filter("_node IS NOT NULL").drop("_label")
+    scored = reduce(DataFrame.unionByName, [x.df.filter("_node IS NULL").select("_number", "_label") for x in layers])
+    done = store(scored, "walk")
+    for used in (packed, *layers):
+        used.release()
+    return whole.df.select("_number", "_row").join(done.df, "_number")
 
 
 def _score(
     df: DataFrame, tree: DataFrame, names: Sequence[str], value_of: Callable[[str], Column], out_col: str, boundary: str,
-    case_nodes: int, plan_levels: int, limit: int,
+    case_nodes: int, walk_levels: int, limit: int,
 ) -> DataFrame:
     """The same checks and answers for every size of tree. A tree of up to ``limit`` bytes is a projection - one
     expression if it is small, else arrays that every task walks - and takes a stream; a larger one is joined."""
@@ -421,7 +502,7 @@ def _score(
         return df.withColumn(out_col, walk(F.array(*[value_of(n) for n in names])))
     kept = [c for c in df.columns if c != out_col]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.array(*[value_of(n) for n in names]).alias("_x"))
-    scored = _walk_by_joins(rows, tree, names, boundary, plan_levels, limit)
+    scored = _walk_by_joins(rows, tree, names, boundary, walk_levels, limit)
     return scored.select(*[F.col(f"_row.`{c}`") for c in kept], F.col("_label").alias(out_col))
 
 
@@ -431,7 +512,7 @@ def predict(
     out_col: str = "prediction",
     boundary: str = "gt",
     case_nodes: int = CASE_NODES,
-    plan_levels: int = PLAN_LEVELS,
+    walk_levels: int = WALK_LEVELS,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The columns of a wide table plus the predicted class.
@@ -445,7 +526,7 @@ def predict(
     def value_of(name: str) -> Column:
         return F.coalesce(F.col(f"`{column[name]}`").cast("double"), F.lit(0.0))
 
-    return _score(df, tree, list(column), value_of, out_col, boundary, case_nodes, plan_levels, limit)
+    return _score(df, tree, list(column), value_of, out_col, boundary, case_nodes, walk_levels, limit)
 
 
 def predict_matrix(
@@ -454,7 +535,7 @@ def predict_matrix(
     out_col: str = "prediction",
     boundary: str = "gt",
     case_nodes: int = CASE_NODES,
-    plan_levels: int = PLAN_LEVELS,
+    walk_levels: int = WALK_LEVELS,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Score the rows of a matrix; ``x`` is dropped from the result. A sparse row without a feature has 0 there."""
@@ -466,7 +547,7 @@ def predict_matrix(
     def value_of(name: str) -> Column:
         return _value_at("x", F.lit(name) if matrix.sparse else F.lit(matrix.names.index(name)), matrix.sparse)
 
-    scored = _score(matrix.rows, tree, names, value_of, out_col, boundary, case_nodes, plan_levels, limit)
+    scored = _score(matrix.rows, tree, names, value_of, out_col, boundary, case_nodes, walk_levels, limit)
     return scored.drop("x")
 
 
