@@ -231,11 +231,20 @@ def _may_link(rule: Rule) -> Column:
     return sizes & (F.col("level") <= asked) & (F.col("other_level") <= asked)
 
 
-def _candidates(met: DataFrame) -> DataFrame:
-    """Pairs (doc, other) that share enough prefix shingles."""
+def _candidates(met: DataFrame, whole: Rule | None = None) -> DataFrame:
+    """Pairs (doc, other) that share enough prefix shingles: as many as they ask for and, where ``met`` holds all that
+    they share (``whole``), so many that what lies beyond the prefixes can make up the rest.
+
+    Of the two prefixes one ends first in the global order; its document shares nothing else but what follows it, which
+    is its least number of shared shingles less the matches asked for.
+    """
     asked = F.least("matches", "other_matches").alias("asked")
-    counted = met.groupBy("doc", "other", asked).agg(F.countDistinct("token").alias("shared"))
-    return counted.where("shared >= asked").select(F.col("other").alias("a"), F.col("doc").alias("b"))
+    counted = met.groupBy("doc", "other", asked, "n", "other_n").agg(F.countDistinct("token").alias("shared"))
+    counted = counted.where("shared >= asked")
+    if whole:
+        beyond = F.expr(f"({whole.percent} * greatest(n, other_n) + 99) div 100 - asked")
+        counted = counted.where((F.col("shared") + beyond) * (100 + whole.percent) >= whole.percent * (F.col("n") + F.col("other_n")))
+    return counted.select(F.col("other").alias("a"), F.col("doc").alias("b"))
 
 
 def _plausible(candidates: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -337,7 +346,7 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     left = store(_labelled(rows.df, named.df), "jaccard-rows")
     right = left.df.select("token", *[F.col(old).alias(new) for old, new in OTHER.items()])
     met = left.df.join(right, "token").where((F.col("doc") < F.col("other")) & (F.col("component") != F.col("other_component")) & _may_link(rule))
-    rest = _verified(_plausible(_candidates(met), classes.df, rule), texts, classes.df, rule)
+    rest = _verified(_plausible(_candidates(met, rule), classes.df, rule), texts, classes.df, rule)
     done = _joined(named, rest)
 
     named_class = join_measured(classes.df, done.df.select(F.col("node").alias("first"), "component"), "first", "left")
