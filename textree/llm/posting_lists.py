@@ -33,6 +33,7 @@ class Settings:
     replicas: int = 2
     boundary: float = 1.15  # a vector also enters lists up to this ratio of its nearest centroid's distance
     ratio: float = 1.25  # a query reads lists up to this ratio
+    least_lists: int = 12  # and at least so many, for where small lists split what lies close together
     chunk: int = 2048  # rows of a list, and queries of a list, that meet in one group
 
 
@@ -50,8 +51,8 @@ class CentroidGraph:
         self.links = [np.array(sorted(x - {i})) for i, x in enumerate(links)]
         self.entries = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(int))
 
-    def search(self, vector: np.ndarray, ratio: float, limit: int | None = None, beam: int = 24) -> list[int]:
-        """Centroids in order of distance, up to ``ratio`` times the least distance met, ``limit`` at most.
+    def search(self, vector: np.ndarray, ratio: float, limit: int | None = None, least_lists: int = 0, beam: int = 24) -> list[int]:
+        """Centroids in order of distance: ``least_lists`` and all up to ``ratio`` times the least distance met, ``limit`` at most.
 
         The walk goes on while fewer than ``beam`` are settled or the next one may still be within the ratio.
         """
@@ -72,7 +73,7 @@ class CentroidGraph:
                 for d, c in zip(np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (self.centroids[fresh] @ vector))).tolist(), fresh, strict=True):
                     least = min(least, d)
                     heapq.heappush(open_, (d, c))
-        return [c for d, c in sorted(settled) if d <= ratio * least][:limit]
+        return [c for place, (d, c) in enumerate(sorted(settled)) if d <= ratio * least or place < least_lists][:limit]
 
 
 def balanced_centroids(rows: np.ndarray, lists: int) -> np.ndarray:
@@ -130,23 +131,25 @@ def nearest(
         centroids = np.ones((1, 1))
     raw, count = np.ascontiguousarray(centroids).tobytes(), len(centroids)
 
-    def assign(ratio: float, limit: int | None, names: list[str]):
+    def assign(ratio: float, limit: int | None, least_lists: int, names: list[str]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             graph = _graph(raw, count)
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                found = [graph.search(x, ratio, limit) for x in unit(matrix(batch.column("values"), kind))]
+                found = [graph.search(x, ratio, limit, least_lists) for x in unit(matrix(batch.column("values"), kind))]
                 at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
                 lists = pa.array([c for x in found for c in x], pa.int32())
                 yield pa.RecordBatch.from_arrays([lists, *(batch.column(x).take(at) for x in names)], ["list", *names])
 
         return run
 
-    postings = entries.mapInArrow(assign(settings.boundary, settings.replicas, ["digest", "ids", "values"]), "list int, digest binary, ids array<long>, values binary")
+    postings = entries.mapInArrow(assign(settings.boundary, settings.replicas, 0, ["digest", "ids", "values"]), "list int, digest binary, ids array<long>, values binary")
     postings = store(postings, "posting-lists").df
-    asked = rows.where(F.col("id") % query_step == 0).select("id", "digest", "values").dropDuplicates(["id", "digest"])
-    asked = asked.mapInArrow(assign(settings.ratio, None, ["id", "digest", "values"]), "list int, id long, digest binary, values binary")
+    # equal query vectors are searched once; their ids come back at the end
+    asking = store(rows.where(F.col("id") % query_step == 0).select("id", "digest", "values").dropDuplicates(["id", "digest"]), "posting-asking").df
+    asked = asking.dropDuplicates(["digest"]).select("digest", "values")
+    asked = asked.mapInArrow(assign(settings.ratio, None, settings.least_lists, ["digest", "values"]), "list int, digest binary, values binary")
     asked = store(asked, "posting-queries").df
 
     # long lists and long lines of queries are cut; every chunk of the one meets every chunk of the other
@@ -162,13 +165,13 @@ def nearest(
         return sized.select(*table.columns, mine, theirs)
 
     def scan(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        columns: list[list] = [[], [], [], []]
+        columns: list[list] = [[], [], []]
         if left.num_rows and right.num_rows:
             ids = left.column("ids").to_pylist()
-            digests = left.column("digest").to_pylist()
             vectors = matrix(left.column("values").combine_chunks(), kind)
             vectors = unit(vectors)
             queries = unit(matrix(right.column("values").combine_chunks(), kind))
+            digests = right.column("digest").to_pylist()
             most = min(k + 1, len(ids))
             for start in range(0, len(queries), 256):
                 scores = queries[start : start + 256] @ vectors.T
@@ -177,22 +180,25 @@ def nearest(
                     # all that tie with the last one, so that the smaller id can win
                     tied = np.flatnonzero(scores[row] >= scores[row, chosen].min() - 1e-12)
                     exact = (vectors[tied] * queries[start + row]).sum(axis=1)
-                    asking = right.column("id")[start + row].as_py()
-                    offered = sorted((-s, i, digests[t]) for s, t in zip(exact.tolist(), tied, strict=True) for i in ids[t] if i != asking)
-                    for s, i, _ in offered[:k]:
-                        columns[0].append(asking)
-                        columns[1].append(right.column("digest")[start + row].as_py())
-                        columns[2].append(i)
-                        columns[3].append(-s)
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.float64())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "digest", "vec_id", "score"])
+                    offered = sorted((-s, i) for s, t in zip(exact.tolist(), tied, strict=True) for i in ids[t])
+                    for s, i in offered[: k + 1]:
+                        columns[0].append(digests[start + row])
+                        columns[1].append(i)
+                        columns[2].append(-s)
+        kinds = (pa.binary(), pa.int64(), pa.float64())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["digest", "vec_id", "score"])
 
     keys = ["list", "p_chunk", "q_chunk"]
     left, right = dealt(postings, "p", "q").groupBy(*keys), dealt(asked, "q", "p").groupBy(*keys)
-    found = left.cogroup(right).applyInArrow(scan, "query_id long, digest binary, vec_id long, score double")
-    found = found.groupBy("query_id", "digest", "vec_id").agg(F.max("score").alias("score"))
+    found = left.cogroup(right).applyInArrow(scan, "digest binary, vec_id long, score double")
+    found = found.groupBy("digest", "vec_id").agg(F.max("score").alias("score"))
+    first = Window.partitionBy("digest").orderBy(F.desc("score"), "vec_id")
+    # one more than asked for, since a query is its own nearest
+    found = found.withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1).drop("place")
+    answers = found.groupBy("digest").agg(F.collect_list(F.struct("vec_id", "score")).alias("answers"))
+    own = asking.select(F.col("id").alias("query_id"), "digest").join(answers, "digest").select("query_id", "digest", F.inline("answers")).where("vec_id != query_id")
     order = Window.partitionBy("query_id", "digest").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
