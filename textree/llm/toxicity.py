@@ -259,20 +259,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that score below ``threshold``. No shuffle."""
+    """The rows of ``docs``, with all their columns, that score below ``threshold``. No shuffle; only texts go to Python."""
     lexicon, exceptions = tuple(sorted(model.lexicon.items())), model.exceptions
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = built(lexicon, exceptions)
-        for batch in batches:
-            keep = []
-            for _, texts in text_slices(batch, text_col):
-                weighed = [matcher.weigh(x) for x in texts]
-                scores = model.score(np.array([n for n, _ in weighed], np.int64), np.array([w for _, w in weighed], np.float64))
-                keep += (scores < threshold).tolist()
-            yield batch.filter(pa.array(keep, pa.bool_()))
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        matcher, keep = built(lexicon, exceptions), []
+        for _, slice_ in text_slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            weighed = [matcher.weigh(x) for x in slice_]
+            scores = model.score(np.array([n for n, _ in weighed], np.int64), np.array([w for _, w in weighed], np.float64))
+            keep += (scores < threshold).tolist()
+        return pa.array(keep, pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(clean(F.col(text_col)))
 
 
 def held_out(id_col: str = "doc_id"):
