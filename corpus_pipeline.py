@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and all that its predecessor kept; all but the last return the columns of
 documents. Toxic documents go; repeated runs of lines are cut out, and with them documents that consist of
-nothing else; of each group of near copies the smallest doc_id stays; secrets are overwritten; the rest is packed.
+nothing else; of each group of near copies one row, with the smallest doc_id, stays; secrets are overwritten; the rest is packed.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textree.llm import jaccard_join, line_chunks, secret_scan, toxicity
 from textree.llm.queries import packed, table
+from textree.operators.features import add_row_id
 from textree.storage import store
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -39,10 +40,29 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word shingles the one with the smallest doc_id stays."""
-    linked = jaccard_join.link_documents(docs, NEAR)
-    gone = store(linked.where("component_id != doc_id").select("doc_id").distinct(), "near-copies").df
-    return secret_scan.join_measured(docs, gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near copies stays: of the texts that word shingles link, the one whose doc_id is smallest.
+
+    Rows decide, not ids: a null id comes last, rows that share an id but not the text are told apart, and of rows that
+    share both one stays (the smallest by the other columns). Rows whose text has no words all
+    stay. An empty table gives an empty table; other columns go.
+    """
+    docs = docs.select(*COLUMNS)
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.where(worded).withColumn("_text", F.unhex(F.md5("text")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id")).alias("first")
+    texts = rows.groupBy("_text").agg(first).select("_text", "first.late", F.col("first.doc_id").alias("_first"))
+    numbered = store(add_row_id(texts, ["late", "_first", "_text"], "_number").drop("late"), "near-numbers").df
+    # one row of each text is compared, under a number of its own
+    chosen = secret_scan.join_measured(rows, numbered, "_text").where(F.col("doc_id").eqNullSafe(F.col("_first"))).drop("_text", "_first")
+    chosen = store(chosen, "near-rows").df
+    linked = jaccard_join.link_documents(chosen, NEAR, "_number")
+    stays = store(linked.where("component_id = doc_id").select(F.col("doc_id").alias("_number")).distinct(), "near-stays").df
+    kept = secret_scan.join_measured(chosen, stays, "_number", "left_semi")
+    repeated = store(chosen.groupBy("_number").count().where("count > 1").select("_number"), "near-repeated").df
+    single = secret_scan.join_measured(kept, repeated, "_number", "left_anti").select(*COLUMNS)
+    several = secret_scan.join_measured(kept, repeated, "_number", "left_semi")
+    one = several.groupBy("_number").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return single.unionByName(one).unionByName(docs.where(~worded))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
