@@ -133,6 +133,16 @@ def limit_rows(spark, sf_dir):
     return ft.limit_rows(rows, 10000, ["o_orderkey"])
 
 
+@query(
+    "limit_rows_ranged",
+    """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey DESC, l_linenumber LIMIT 5000""",
+)
+def limit_rows_ranged(spark, sf_dir):
+    """The same where no task may hold all the rows asked for."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return ft.limit_rows(rows, 5000, [F.desc("l_orderkey"), "l_linenumber"], one_task=1000)
+
+
 @query(
     "row_index",
     """SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS "Index", o_orderkey, o_totalprice

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import FEATURES, LINE_ID, LINES_SQL, documents, english_doc, lines, query
+from catalog.base import FEATURES, LINE_ID, LINES_SQL, documents, english_doc, lines, query, table
 from catalog.splits import entropy_sql, search_ctes
 from textree.operators import evaluate as ev
 from textree.operators import sample as sm
@@ -180,6 +180,18 @@ def balanced_sample(spark, sf_dir):
     return sm.balanced(lines(spark, sf_dir), LINE_ID)
 
 
+@query(
+    "balanced_exact",
+    """WITH src AS (SELECT o_orderkey, o_custkey, CAST(CASE WHEN o_totalprice > 300000 THEN 1 ELSE 0 END AS INTEGER) AS y FROM orders),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR)))) AS rn FROM src)
+    SELECT o_orderkey, o_custkey, y FROM ranked
+    WHERE rn <= (SELECT floor(least(count(*) FILTER (y = 0), count(*) FILTER (y = 1)) * 0.8) FROM src)""",
+)
+def balanced_exact(spark, sf_dir):
+    dear = F.when(F.col("o_totalprice") > 300000, 1).otherwise(0).alias("y")
+    return sm.balanced_exact(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", dear), ["o_orderkey"])
+
+
 @query("train_test_split", f"WITH {DRAWN_SQL} SELECT * FROM drawn")
 def train_test_split(spark, sf_dir):
     train, test = sm.train_test(lines(spark, sf_dir), LINE_ID)

@@ -70,9 +70,22 @@ def harmonize(
     return found.unionByName(titles)
 
 
+def titles_and_sentences(df: DataFrame, text_col: str, label: int = 1, sentence_label: int = 1, title: str = TITLE) -> DataFrame:
+    """The rows of ``harmonize``, with repeats, from one pass over the source: each row becomes its title and, where
+    there is a ``text`` column, its sentences. A null title and blank sentences give no row."""
+    kept = filter_rows(df)
+    entry = F.struct(F.col(f"`{text_col}`").alias(title), F.lit(label).cast("int").alias(LABEL))
+    entries = F.filter(F.array(entry), lambda e: e[title].isNotNull())
+    if "text" in kept.columns:
+        trimmed = F.transform(F.split("text", r"\."), lambda s: F.trim(s))
+        found = F.transform(F.filter(trimmed, not_blank), lambda s: F.struct(s.alias(title), F.lit(sentence_label).cast("int").alias(LABEL)))
+        entries = F.concat(entries, F.coalesce(found, F.array().cast(f"array<struct<{title}:string,{LABEL}:int>>")))
+    return kept.select(F.inline(entries))
+
+
 def build_corpus(sources: Sequence[Source], sentence_label: int = 1) -> DataFrame:
-    """Union of all harmonized sources without repeated (title, ground_truth) rows."""
-    tables = [harmonize(s.df, s.text_col, s.label, sentence_label) for s in sources]
+    """Union of all harmonized sources without repeated (title, ground_truth) rows: one scan a source, one dedup."""
+    tables = [titles_and_sentences(s.df, s.text_col, s.label, sentence_label) for s in sources]
     return dedup(reduce(DataFrame.unionByName, tables))
 
 

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textree.storage import store
+
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+PARTS_A_TASK = 8  # so many parts of a heavy key make a task of usual size: more parts fall more evenly
 
 
 def width_of(value: Column, kind: T.DataType) -> Column:
@@ -49,15 +51,32 @@ def join_small(
     small_bytes: int | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Broadcast ``small`` up to ``limit`` bytes; beyond it shuffle with every hot key cut in ``SALTS``.
+    """Broadcast ``small`` up to ``limit`` bytes; beyond it shuffle with every heavy key of ``big`` cut in parts.
 
-    The salt of a row is a hash of ``salt_on`` (all columns if not given), so a retried task places it
-    in the same way, and ``small`` is repeated once per salt.
+    A key is heavy if it has more rows than a task should have on average; it gets as many parts as its measured count
+    asks for, and only its rows of ``small`` are repeated. There are fewer heavy keys than tasks, so that table may be
+    sent to all of them. The part of a row is a hash of ``salt_on`` (all columns if not given), so a retried task places
+    it in the same way.
     """
     if small_bytes is None:
         small_bytes = size_in_bytes(small)
     if small_bytes <= limit:
         return big.join(F.broadcast(small), keys, how)
-    salt = F.pmod(F.xxhash64(*(salt_on or big.columns)), F.lit(SALTS)).cast("int")
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return big.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
+    heavy = store(heavy_keys(big, keys), "heavy-keys").df
+    parts = F.coalesce("_parts", F.lit(1))
+    salt = F.pmod(F.xxhash64(*(salt_on or big.columns)), parts).cast("int")
+    cut = big.join(F.broadcast(heavy), keys, "left").withColumn("_salt", salt).drop("_parts")
+    copies = small.join(F.broadcast(heavy), keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return cut.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def heavy_keys(big: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys with more rows than a shuffle partition holds on average, and ``_parts``, in how many each is to be cut.
+
+    Counts are combined inside the tasks. At most as many keys as partitions can be so heavy.
+    """
+    tasks = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = store(big.groupBy(*keys).agg(F.count("*").alias("_n")), "key-counts").df
+    usual = max(1.0, (counts.agg(F.sum("_n")).first()[0] or 0) / tasks)
+    parts = F.ceil(F.col("_n") / F.lit(usual) * PARTS_A_TASK).cast("int").alias("_parts")
+    return counts.filter(F.col("_n") > usual).select(*keys, parts)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +51,78 @@ def train_test(
     return df.filter(drawn), df.filter(~drawn)
 
 
+HEX_STEP = 3  # digits by which a cut is refined in one pass: 4,096 counts of a class come to the driver
+
+
+@dataclass(frozen=True)
+class Cut:
+    """Digests up to ``digits`` (or below them) are drawn."""
+
+    digits: str
+    inclusive: bool
+
+
+def exact_cuts(df: DataFrame, wanted: dict[int, int], id_cols: list[str], label: str = "y", salt: str = "42") -> dict[int, Cut]:
+    """For each class the cut below which exactly ``wanted`` digests of its ids lie.
+
+    A selection without a sort: counts by the first digits find the bucket of the k-th smallest digest, the next pass
+    counts inside that bucket alone, and so on until a bucket ends at k. Each pass is one scan and a small aggregation.
+    """
+    digest = _digest(id_cols, salt)
+    open_ = {y: ("", k) for y, k in wanted.items() if k > 0}
+    cuts = {y: Cut("", False) for y in wanted}
+    while open_:
+        inside = reduce(Column.__or__, [(F.col(label) == y) & digest.startswith(prefix) for y, (prefix, _) in open_.items()])
+        size = min(32, len(next(iter(open_.values()))[0]) + HEX_STEP)
+        counts = df.filter(inside).groupBy(F.col(label).alias("y"), F.substring(digest, 1, size).alias("digits")).agg(F.count("*").alias("n")).collect()
+        following = {}
+        for y, (prefix, k) in open_.items():
+            below = 0
+            for r in sorted((r for r in counts if r["y"] == y), key=lambda r: r["digits"]):
+                if below + r["n"] >= k:
+                    if below + r["n"] == k:
+                        cuts[y] = Cut(r["digits"], True)
+                    elif size == 32:  # rows of one id: together or not at all
+                        cuts[y] = Cut(r["digits"], False)
+                    else:
+                        following[y] = (r["digits"], k - below)
+                    break
+                below += r["n"]
+        open_ = following
+    return cuts
+
+
+def _digest(id_cols: list[str], salt: str) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(salt), *id_cols))
+
+
+def in_exact_train(df: DataFrame, id_cols: list[str], label: str = "y", share: float = SHARE, salt: str = "42") -> Column:
+    """True for floor(``share`` of the smaller class) rows of each class, a repeatable draw by the digest of the id.
+
+    Sizes are exact where ids are unique; rows that share an id at the cut all stay out. Null ids are left out of the
+    digest, rows with other labels are never drawn, and a missing class is a ValueError.
+    """
+    counts = {r[0]: r[1] for r in df.filter(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
+    if not (counts.get(0) and counts.get(1)):
+        raise ValueError(f"both classes must be present, found {counts}")
+    k = int(Decimal(str(share)) * min(counts.values()))
+    digest, drawn = _digest(id_cols, salt), F.lit(False)
+    for y, cut in exact_cuts(df, {0: k, 1: k}, id_cols, label, salt).items():
+        start = F.substring(digest, 1, len(cut.digits))
+        drawn = drawn | ((F.col(label) == y) & (start <= cut.digits if cut.inclusive else start < cut.digits))
+    return F.coalesce(drawn, F.lit(False))
+
+
+def balanced_exact(df: DataFrame, id_cols: list[str], label: str = "y", share: float = SHARE, salt: str = "42") -> DataFrame:
+    """As ``balanced``, with exactly equal classes."""
+    return df.filter(in_exact_train(df, id_cols, label, share, salt))
+
+
+def train_test_exact(df: DataFrame, id_cols: list[str], label: str = "y", share: float = SHARE, salt: str = "42") -> tuple[DataFrame, DataFrame]:
+    drawn = in_exact_train(df, id_cols, label, share, salt)
+    return df.filter(drawn), df.filter(~drawn)
+
+
 COPIES = 1000
 
 
