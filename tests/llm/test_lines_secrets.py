@@ -234,3 +234,12 @@ def test_queries_agree_with_their_sql(spark):
         want = db.execute(ORACLES[name]).df().sort_values("doc_id").reset_index(drop=True)
         got = rows.toPandas().sort_values("doc_id").reset_index(drop=True)
         assert got[sorted(got)].equals(want[sorted(want)])
+
+
+def test_redact_leaves_columns_of_any_name_alone(spark):
+    docs = spark.createDataFrame([(1, "token = abcdefgh1 end", "own", "blob", 5, "r"), (2, None, None, None, None, None)], "doc_id long, text string, _own string, _blob string, _found int, row string")
+    ledger = secret_scan.Ledger(spark)
+    ledger.update(docs)
+    got = sorted(map(tuple, ledger.redact(docs).collect()))
+    assert got == [(1, "[SECRET] end", "own", "blob", 5, "r"), (2, None, None, None, None, None)]
+    assert ledger.redact(docs).columns == docs.columns

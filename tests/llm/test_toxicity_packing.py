@@ -134,3 +134,10 @@ def test_packed_documents_have_their_exact_token_counts(spark):
     counted = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()}
     got = packed(docs).groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()
     assert {r.doc_id: r.n for r in got} == counted
+
+
+def test_conflicting_labels_count_as_toxic(spark):
+    docs = spark.createDataFrame([(i, "vile scum" if i % 2 else "calm words here") for i in range(400)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(400)] + [(i, 0) for i in range(1, 400, 2)] + [(3, None)]
+    model = toxicity.fit_split(docs, spark.createDataFrame(labels, "doc_id long, toxic int").repartition(5))
+    assert {r.doc_id for r in toxicity.score(docs, model).where("predicted = 1").collect()} == set(range(1, 400, 2))

@@ -139,12 +139,14 @@ class Ledger:
         """``docs`` with what the ledger holds of their texts replaced; other columns and rows stay as they are."""
         names = docs.columns
         found = self.by_blob(rules).select(F.col("blob").alias("_blob"), F.struct(*[r.kind for r in rules]).alias("_found"))
-        marked = docs.withColumn("_own", F.sha2(F.coalesce(text_col, F.lit("")), 256))
-        joined = join_measured(marked, found, F.col("_own") == F.col("_blob"), "left")
+        # the columns of docs travel inside a struct, so no name of theirs can meet one used here
+        row, own = F.struct(*[F.col(f"`{x}`") for x in names]).alias("row"), F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("_own")
+        joined = join_measured(docs.select(row, own), found, F.col("_own") == F.col("_blob"), "left")
         empty = F.array().cast(SPANS)
         spans = span_list(rules, lambda kind: F.coalesce(F.col("_found")[kind], empty))
-        text = F.when(F.col("_found").isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), spans))
-        return joined.select(*[text.alias(x) if x == text_col else F.col(x) for x in names])
+        before = F.col("row")[text_col]
+        text = F.when(F.col("_found").isNull(), before).otherwise(redacted(before, spans))
+        return joined.select(*[text.alias(x) if x == text_col else F.col("row")[x].alias(x) for x in names])
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

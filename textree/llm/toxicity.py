@@ -280,7 +280,10 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit_split(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> Model:
-    """Fit on the labelled rows of ``docs`` that are not held out. The label table is broadcast if measured small."""
-    known = labels.where("toxic IS NOT NULL").select(F.col("doc_id").alias("_id"), "toxic").dropDuplicates(["_id"])
+    """Fit on the labelled rows of ``docs`` that are not held out. The label table is broadcast if measured small.
+
+    An id with labels 0 and 1 counts as toxic; null labels are passed over.
+    """
+    known = labels.where("toxic IN (0, 1)").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic"))
     mine = docs.where(~held_out(id_col)).select(F.col(id_col).alias("_doc"), "text")
     return fit(join_measured(mine, known, F.col("_doc") == F.col("_id")))
