@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import chain_sql, documents, last_sql, query, table
+from catalog.stems import STEMS_SQL
 from textree.functions.stopwords import ENGLISH
 from textree.operators import corpus as cp
 from textree.operators import features as ft
@@ -167,12 +168,20 @@ def tokens_no_stopwords(spark, sf_dir):
     return document_tokens(documents(spark, sf_dir), "doc_id", "text")
 
 
-@query("stemmed_tokens")
+STEMMED_SQL = f"{KEPT_SQL}, {STEMS_SQL}"
+
+
+@query("stemmed_tokens", f"WITH {STEMMED_SQL} SELECT doc_id, pos, token, stem FROM kept JOIN stems USING (token)")
 def stemmed_tokens(spark, sf_dir):
     return tx.stem_tokens(document_tokens(documents(spark, sf_dir), "doc_id", "text"))
 
 
-@query("stemmed_vocab")
+@query(
+    "stemmed_vocab",
+    f"""WITH {STEMMED_SQL} SELECT stem AS term, count(*) AS cnt,
+    CAST(row_number() OVER (ORDER BY count(*) DESC, stem) - 1 AS INTEGER) AS term_idx
+    FROM kept JOIN stems USING (token) GROUP BY stem ORDER BY cnt DESC, stem LIMIT 500""",
+)
 def stemmed_vocab(spark, sf_dir):
     stems = tx.stem_tokens(document_tokens(documents(spark, sf_dir), "doc_id", "text"))
     return ft.vocabulary(ft.term_counts(stems, "doc_id", "stem"), 500)

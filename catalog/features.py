@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import FEATURES, LINE_ID, RETURNED_SQL, documents, english_doc, lines, query, table
-from catalog.corpus import KEPT_SQL
+from catalog.corpus import KEPT_SQL, STEMMED_SQL
 from textree.operators import features as ft
 from textree.plans.tfidf import document_tokens, tfidf_table
 
@@ -14,14 +14,17 @@ WIDE = SIZE
 COUNTS_SQL = f"{KEPT_SQL}, counts AS (SELECT doc_id, token AS term, count(*) AS tf FROM kept GROUP BY ALL)"
 
 
-def vocab_sql(size: int) -> str:
-    return f"""{COUNTS_SQL}, vocab AS (SELECT term, CAST(sum(tf) AS BIGINT) AS cnt,
+STEM_COUNTS_SQL = f"{STEMMED_SQL}, counts AS (SELECT doc_id, stem AS term, count(*) AS tf FROM kept JOIN stems USING (token) GROUP BY ALL)"
+
+
+def vocab_sql(size: int, counts: str = COUNTS_SQL) -> str:
+    return f"""{counts}, vocab AS (SELECT term, CAST(sum(tf) AS BIGINT) AS cnt,
       CAST(row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS INTEGER) AS term_idx
       FROM counts GROUP BY term ORDER BY cnt DESC, term LIMIT {size})"""
 
 
-def tfidf_sql(size: int) -> str:
-    return f"""{vocab_sql(size)},
+def tfidf_sql(size: int, counts: str = COUNTS_SQL) -> str:
+    return f"""{vocab_sql(size, counts)},
     freq AS (SELECT term, count(*) AS df FROM counts JOIN vocab USING (term) GROUP BY term),
     total AS (SELECT count(*) AS n FROM documents WHERE trim(text) <> ''),
     scores AS (SELECT doc_id, term, tf, tf * ln((n + 1.0::DOUBLE) / (df + 1.0::DOUBLE)) AS tfidf
@@ -53,9 +56,10 @@ def tfidf(spark, sf_dir):
     return made.values.withColumn("tfidf", F.round("tfidf", 6))
 
 
-@query("tfidf_stemmed")
+@query("tfidf_stemmed", f"WITH {tfidf_sql(SIZE, STEM_COUNTS_SQL)} SELECT doc_id, term, tf, round(tfidf, 6) AS tfidf FROM scores")
 def tfidf_stemmed(spark, sf_dir):
-    return tfidf_table(documents(spark, sf_dir), "doc_id", "text", SIZE).values
+    made = tfidf_table(documents(spark, sf_dir), "doc_id", "text", SIZE)
+    return made.values.withColumn("tfidf", F.round("tfidf", 6))
 
 
 WIDE_COLUMNS = ", ".join(

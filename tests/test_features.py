@@ -7,7 +7,7 @@ from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from textree.functions.porter import stem
+from plain_porter import stem
 from textree.functions.stopwords import ENGLISH
 from textree.operators import features as ft
 from textree.operators import text as tx

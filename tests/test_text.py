@@ -2,8 +2,9 @@ import pytest
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
+from plain_porter import stem
+from textree.functions import porter
 from textree.functions import text as fn
-from textree.functions.porter import stem
 from textree.functions.stopwords import ENGLISH
 from textree.operators import text as tx
 
@@ -101,6 +102,24 @@ def test_porter_published_examples(word):
     assert stem(word) == PORTER[word]
 
 
+def odd_words():
+    """Published examples, endings put to beginnings with every run of y, and what is hardly a word."""
+    endings = [*porter.STEP2, *porter.STEP3, *porter.STEP4, "s", "sses", "ies", "eed", "ed", "ing", "y", "e", "ll", "tted", "lled", "yyed", "yyying", "ated", "ized"]
+    starts = ["", "b", "a", "y", "yy", "byy", "abyy", "ayyy", "yab", "str", "trouble", "hop", "fix", "snow", "play", "Éta", "x1", "Vex", "oooo", "opposit"]
+    return [*PORTER, *(a + b for a in starts for b in endings), *("y" * n for n in range(1, 7)), "", "Y", "YES", "ing", "日本語s", "y" * 50_000 + "ed", "ab" * 50_000 + "ing"]
+
+
+def test_stems_as_columns_are_the_plain_rules(spark):
+    words = odd_words()
+    df = spark.createDataFrame([(w,) for w in [*words, None]], "token string")
+    got = {r["token"]: r["stem"] for r in df.withColumn("stem", fn.stem_column(F.col("token"))).collect()}
+    assert got == {w: stem(w) for w in words} | {None: None}
+    arrays = spark.createDataFrame([(words[:9],), ([],), (None,), (["cats", None],)], "tokens array<string>")
+    found = arrays.select(porter.stems(F.col("tokens")).alias("s"))
+    assert [r["s"] for r in found.collect()] == [[stem(w) for w in words[:9]], [], None, ["cat", None]]
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("limit", [0, 10**9])
 def test_stem_tokens_broadcast_and_salted(spark, limit):
     tokens = [(i, w) for i, w in enumerate(["running"] * 50 + ["ponies", "Cats", "sky"])]

@@ -1,8 +1,16 @@
-"""The public Porter stemming rules (M. F. Porter, 1980) for one lower-cased English word."""
+"""The public Porter stemming rules (M. F. Porter, 1980) as column expressions.
+
+A word is read as runs of consonants and vowels; its measure is the number of times a vowel run is followed by a
+consonant run. ``y`` is a vowel after a consonant, so a leading ``y`` is written ``Y`` while the steps run: then a
+consonant run is one of anything but ``aeiou`` and more of anything but ``aeiouy``, and patterns settle every test.
+"""
 
 from __future__ import annotations
 
-VOWELS = "aeiou"
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # Suffix -> replacement when the part before it has measure > 0.
 STEP2 = {
@@ -18,86 +26,117 @@ STEP4 = (
     "ate", "iti", "ous", "ive", "ize",
 )
 
+CONSONANTS = "[^aeiou][^aeiouy]*"
+VOWELS = "[aeiouy][aeiou]*"
+HAS_VOWEL = f"^({CONSONANTS})?[aeiouy]"
+ABOVE_0 = f"^({CONSONANTS})?{VOWELS}{CONSONANTS}"
+ABOVE_1 = f"{ABOVE_0}{VOWELS}{CONSONANTS}"
+EXACTLY_1 = rf"{ABOVE_0}({VOWELS})?\z"
+#: Measure 1 and an end of consonant, vowel, consonant other than w, x, y: nothing else stands in such a word.
+SHORT = rf"^{CONSONANTS}[aeiouy][^aeiouwxy]\z"
+#: The same consonant twice, but l, s and z. In a run of ``y`` vowels and consonants take turns.
+DOUBLED = r"([^aeiouylsz])\1\z|[^aeiouy](yy)+\z|[aeiou]y(yy)+\z"
+
+Step = Callable[[Column], Column]
+
+
+def _without(word: Column, size: int) -> Column:
+    return F.substring(word, F.lit(1), F.length(word) - size)
+
+
+def _longest_first(suffixes) -> list[str]:
+    return sorted(suffixes, key=len, reverse=True)
+
+
+def _rules(word: Column, suffixes, then: Callable[[str], Column]) -> Column:
+    """What ``then`` says about the longest suffix the word has; a word with none stays."""
+    first, *others = _longest_first(suffixes)
+    chosen = F.when(word.endswith(first), then(first))
+    for suffix in others:
+        chosen = chosen.when(word.endswith(suffix), then(suffix))
+    return chosen.otherwise(word)
+
+
+def _replacing(rules: Mapping[str, str]) -> Step:
+    def step(word: Column) -> Column:
+        def then(suffix: str) -> Column:
+            rest = _without(word, len(suffix))
+            return F.when(rest.rlike(ABOVE_0), F.concat(rest, F.lit(rules[suffix]))).otherwise(word)
+
+        return _rules(word, rules, then)
+
+    return step
+
+
+def _plural(word: Column) -> Column:
+    shorter = {"sses": 2, "ies": 2, "ss": 0, "s": 1}
+    return _rules(word, shorter, lambda suffix: _without(word, shorter[suffix]))
+
+
+def _past(word: Column) -> Column:
+    """The participle's ending goes; the word left is marked with a space at its end for the next step."""
+
+    def then(suffix: str) -> Column:
+        rest = _without(word, len(suffix))
+        if suffix == "eed":
+            return F.when(rest.rlike(ABOVE_0), _without(word, 1)).otherwise(word)
+        return F.when(rest.rlike(HAS_VOWEL), F.concat(rest, F.lit(" "))).otherwise(word)
+
+    return _rules(word, ("eed", "ed", "ing"), then)
+
+
+def _mended(word: Column) -> Column:
+    """What is left of a participle gets its ``e`` back or loses a doubled letter."""
+    rest = _without(word, 1)
+    mended = (
+        F.when(rest.rlike(r"(at|bl|iz)\z"), F.concat(rest, F.lit("e")))
+        .when(rest.rlike(DOUBLED), _without(word, 2))
+        .when(rest.rlike(SHORT), F.concat(rest, F.lit("e")))
+        .otherwise(rest)
+    )
+    return F.when(word.endswith(" "), mended).otherwise(word)
+
+
+def _last_y(word: Column) -> Column:
+    rest = _without(word, 1)
+    return F.when(word.endswith("y") & rest.rlike(HAS_VOWEL), F.concat(rest, F.lit("i"))).otherwise(word)
+
+
+def _dropping(word: Column) -> Column:
+    def then(suffix: str) -> Column:
+        rest = _without(word, len(suffix))
+        drop = rest.rlike(ABOVE_1)
+        if suffix == "ion":
+            drop = drop & rest.rlike(r"[st]\z")
+        return F.when(drop, rest).otherwise(word)
+
+    return _rules(word, STEP4, then)
+
+
+def _last_e(word: Column) -> Column:
+    rest = _without(word, 1)
+    drop = rest.rlike(ABOVE_1) | (rest.rlike(EXACTLY_1) & ~rest.rlike(SHORT))
+    return F.when(word.endswith("e") & drop, rest).otherwise(word)
+
+
+def _last_l(word: Column) -> Column:
+    return F.when(word.endswith("ll") & word.rlike(ABOVE_1), _without(word, 1)).otherwise(word)
+
+
+STEPS: tuple[Step, ...] = (
+    _plural, _past, _mended, _last_y, _replacing(STEP2), _replacing(STEP3), _dropping, _last_e, _last_l,
+)
+
+
+def stems(words: Column) -> Column:
+    """The stems of an array of words, lower-cased; words of up to two characters and nulls stay as they are.
 
-def _shape(word: str) -> str:
-    """One letter per character: v for a vowel, c for a consonant (y after a consonant is a vowel)."""
-    shape = ""
-    for letter in word:
-        vowel = letter in VOWELS or (letter == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
-    return shape
-
-
-def _measure(word: str) -> int:
-    return _shape(word).count("vc")
-
-
-def _ends_cvc(word: str) -> bool:
-    return _shape(word).endswith("cvc") and word[-1] not in "wxy"
-
-
-def _ends_double(word: str) -> bool:
-    return len(word) > 1 and word[-1] == word[-2] and _shape(word)[-1] == "c"
-
-
-def _longest(word: str, suffixes) -> str | None:
-    found = [s for s in suffixes if word.endswith(s)]
-    return max(found, key=len) if found else None
-
-
-def _plural(word: str) -> str:
-    if word.endswith("sses") or word.endswith("ies"):
-        return word[:-2]
-    if word.endswith("s") and not word.endswith("ss"):
-        return word[:-1]
-    return word
-
-
-def _past(word: str) -> str:
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    suffix = _longest(word, ("ed", "ing"))
-    if suffix is None or "v" not in _shape(word[: -len(suffix)]):
-        return word
-    word = word[: -len(suffix)]
-    if word.endswith(("at", "bl", "iz")):
-        return word + "e"
-    if _ends_double(word) and word[-1] not in "lsz":
-        return word[:-1]
-    if _measure(word) == 1 and _ends_cvc(word):
-        return word + "e"
-    return word
-
-
-def _replace(word: str, rules: dict[str, str]) -> str:
-    suffix = _longest(word, rules)
-    if suffix and _measure(word[: -len(suffix)]) > 0:
-        return word[: -len(suffix)] + rules[suffix]
-    return word
-
-
-def _drop(word: str) -> str:
-    suffix = _longest(word, STEP4)
-    if suffix is None:
-        return word
-    rest = word[: -len(suffix)]
-    if _measure(rest) > 1 and (suffix != "ion" or rest.endswith(("s", "t"))):
-        return rest
-    return word
-
-
-def stem(word: str) -> str:
-    word = word.lower()
-    if len(word) <= 2:
-        return word
-    word = _past(_plural(word))
-    if word.endswith("y") and "v" in _shape(word[:-1]):
-        word = word[:-1] + "i"
-    word = _drop(_replace(_replace(word, STEP2), STEP3))
-    if word.endswith("e"):
-        rest = word[:-1]
-        if _measure(rest) > 1 or (_measure(rest) == 1 and not _ends_cvc(rest)):
-            word = rest
-    if word.endswith("ll") and _measure(word) > 1:
-        word = word[:-1]
-    return word
+    Each step is a pass over the array, which names the word once however often the step looks at it. Words are
+    runs without whitespace.
+    """
+    lowered = F.transform(words, lambda word: F.lower(word))
+    kept = F.transform(lowered, lambda word: F.regexp_replace(word, "^y", "Y"))
+    for step in STEPS:
+        kept = F.transform(kept, step)
+    kept = F.transform(kept, lambda word: F.regexp_replace(word, "^Y", "y"))
+    return F.zip_with(lowered, kept, lambda word, stem: F.when(F.length(word) > 2, stem).otherwise(word))

@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textree.functions import porter
 
-# the workers need not have the package installed
-cloudpickle.register_pickle_by_value(porter)
-
 # What is removed or squeezed, in this order.
 MENTION = "@[a-zA-Z0-9_]+"
 URL = r"\b(?:https?|ftp|com):\/\/\S+"
@@ -64,23 +56,5 @@ def is_positive(column: str, dtype: T.DataType) -> Column:
 
 
 def stem_column(token: Column) -> Column:
-    """Porter stems, in Arrow batches. For distinct words; see ``operators.text.stem_dictionary``."""
-
-    @F.pandas_udf(T.StringType())
-    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(porter.stem, na_action="ignore")
-
-    return stems(token)
-
-
-def stem_array(tokens: Column) -> Column:
-    """Stems of an array column, in place; each task remembers the words it has met."""
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = lru_cache(maxsize=200_000)(porter.stem)
-        for batch in batches:
-            yield batch.map(lambda words: [known(w) for w in words], na_action="ignore")
-
-    return stems(tokens)
+    """Porter stem of one word. Dearer than a join where words repeat; see ``operators.text.stem_dictionary``."""
+    return porter.stems(F.array(token))[0]

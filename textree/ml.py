@@ -20,7 +20,7 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textree.functions.text import stem_array
+from textree.functions.porter import stems
 from textree.operators import features as ft
 from textree.operators import text as tx
 from textree.plans import tree as tr
@@ -58,7 +58,7 @@ class TextCleaner(Transformer, Settable, HasInputCol, HasOutputCol, DefaultParam
 
 
 class TokenStemmer(Transformer, Settable, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Stems of an array of tokens."""
+    """Stems of an array of tokens, as a column expression; takes a stream too."""
 
     @keyword_only
     def __init__(self, *, inputCol=None, outputCol=None):
@@ -66,7 +66,7 @@ class TokenStemmer(Transformer, Settable, HasInputCol, HasOutputCol, DefaultPara
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.getOutputCol(), stem_array(F.col(self.getInputCol())))
+        return dataset.withColumn(self.getOutputCol(), stems(F.col(self.getInputCol())))
 
 
 class VectorExpander(Transformer, Settable, HasInputCol, DefaultParamsReadable, DefaultParamsWritable):

@@ -67,7 +67,7 @@ def remove_stopwords(tokens: DataFrame, words: Iterable[str] = ENGLISH, token_co
 
 
 def stem_dictionary(tokens: DataFrame, token_col: str = "token") -> DataFrame:
-    """(token, stem) for every distinct token: Python sees each word once, not each occurrence."""
+    """(token, stem) for every distinct token: the rules run once a word, not once an occurrence."""
     distinct = tokens.select(F.col(token_col).alias("token")).distinct()
     return distinct.withColumn("stem", fn.stem_column(F.col("token")))
 
