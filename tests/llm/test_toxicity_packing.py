@@ -1,6 +1,9 @@
 """Toxicity scores by held-out accuracy and by hand; packing against a plain search over all bins."""
 
+import math
 import random
+import re
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -53,6 +56,70 @@ def test_exception_phrases_are_learned(spark):
     assert kept.columns == ["doc_id", "text", "toxic", "weight"]
 
 
+def plain_weight(text, lexicon, exceptions):
+    """Word by word, without an automaton."""
+    folded, total = toxicity.fold(text), 0.0
+    words = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W\d_]+", folded)]
+    for at, (start, end, word) in enumerate(words):
+        weights = [lexicon.get(word + " ", 0.0), *(lexicon.get(word[:k], 0.0) for k in range(1, len(word) + 1))]
+        near = [f"{w} {word}" for _, e, w in words[max(0, at - 1) : at] if start - e <= 64 and e > start - 64]
+        near += [f"{word} {w}" for s, _, w in words[at + 1 : at + 2] if s < end + 64]
+        if not exceptions.intersection(near):
+            total += max(weights)
+    return total
+
+
+def test_matcher_and_score_against_plain_python(spark):
+    draw = random.Random(21)
+    lexicon = {"ab ": 2.0, "ab": 1.5, "abc ": 3.0, "bc": 2.5, "cab ": 4.0, "c ": 2.25, "é ": 2.0}
+    exceptions = frozenset({"no ab", "bc no", "cab cab"})
+    texts = ["", "no", "ab" * 40, "4b c@b", *("".join(draw.choice(["a", "b", "c", " ", " ", "no ", "4", ".", "é", "\n", "А"]) for _ in range(draw.randrange(1, 60))) for _ in range(800))]
+    matcher = toxicity.Matcher(lexicon, exceptions)
+    want = [plain_weight(t, lexicon, exceptions) for t in texts]
+    assert [matcher.weigh(t)[1] for t in texts] == pytest.approx(want) and sum(w > 0 for w in want) > 400
+    model = toxicity.Model(lexicon, exceptions, (0.7, 1.1), -3.0)
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, (text, weight) in enumerate(zip(texts, want, strict=True)):
+        words = text.count(" ") + 1 if text else 0
+        curve = -3.0 + 0.7 * math.log1p(weight) + 1.1 * math.log1p(100 * weight / max(words, 1))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-curve)))
+
+
+def plain_evidence(toxic, clean, share):
+    return 2 * sum(n * math.log(n / ((toxic + clean) * p)) for n, p in ((toxic, share), (clean, 1 - share)) if n)
+
+
+def test_forms_and_exceptions_by_plain_evidence(spark):
+    rows, df = synthetic(spark, 1500)
+    rows += [(9000 + i, f"quite rareword{i} here", 1) for i in range(9)]  # 3 % of the toxic texts
+    rows += [(9100, "really no scum at all", 1)]  # one wrong label among 38 does not undo the exception
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    toxic = sum(y for _, _, y in rows)
+    clean = len(rows) - toxic
+    counts = {0: Counter(), 1: Counter()}
+    for _, text, label in rows:
+        counts[label].update({f for w in set(re.findall(r"[^\W\d_]+", toxicity.fold(text))) for f in toxicity.word_forms(w)})
+    strong = {}
+    for form, n in counts[1].items():
+        weight = math.log((n + 0.5) / (toxic + 1)) - math.log((counts[0][form] + 0.5) / (clean + 1))
+        if n >= 3 and weight >= 2.0 and plain_evidence(n, counts[0][form], toxic / len(rows)) >= 25.0:
+            strong[form] = weight
+    model = toxicity.fit(df)
+    assert set(model.lexicon) <= set(strong) and "rare" in model.lexicon
+    for form, weight in strong.items():
+        covered = any(strong.get(form[:k], -9.0) >= weight - 0.5 for k in toxicity.PREFIX_LENGTHS if k < len(form.strip()))
+        assert covered == (form not in model.lexicon)
+        assert covered or model.lexicon[form] == pytest.approx(weight)
+    assert "no scum" in model.exceptions
+
+
+def test_sample_of_the_labelled_rows(spark):
+    _, df = synthetic(spark, 1200)
+    assert toxicity.learnable(df, "text", "toxic", 10_000).count() == 1200
+    assert 200 < toxicity.learnable(df, "text", "toxic", 400).count() < 600
+    assert "vile" in toxicity.fit(df, most_rows=600).lexicon
+
+
 def test_held_out_accuracy(spark):
     got = QUERIES["op7_toxicity"](spark, MIDDLE)
     assert got.where("score < 0 OR score > 1 OR score IS NULL").count() == 0

@@ -2,8 +2,8 @@
 
 Folding lower-cases, maps look-alike letters of other scripts to Latin and digits or signs inside words to the
 letters they stand for. The lexicon holds whole words and word beginnings with a log-odds weight learned from
-labelled rows, and exception phrases: a match with its neighbour word that labelled clean texts use and toxic ones
-do not counts nothing. A text's matched weight, also divided by its length, enters a logistic curve that is
+labelled rows, and exception phrases: a match with its neighbour word that toxic texts use no more than clean ones do
+counts nothing. A text's matched weight, also divided by its length, enters a logistic curve that is
 fitted on the same rows.
 """
 
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textree.llm.batches import text_slices
@@ -39,12 +39,11 @@ _SIGN = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<!\w)[013457@$]+(?=
 _WORD = re.compile(r"[^\W\d_]+")
 
 PREFIX_LENGTHS = (4, 5, 6)
-LEAST_SHARE = 0.002  # of the toxic rows that must have a candidate: at most (distinct words in a text) / LEAST_SHARE candidates
-LEAST_ROWS = 3
-LEAST_WEIGHT = 2.0  # natural log-odds
-LEAST_EVIDENCE = 25.0  # likelihood ratio statistic: by chance about one form in 10^6 has it
-LEAST_EXCEPTION_ROWS = 3
-MAX_EXCEPTIONS = 10_000  # the most frequent ones; a documented bound of the model, not of the rows scored
+LEAST_ROWS = 3  # words of one text come together, so a single row is no evidence for each of them
+LEAST_WEIGHT = 2.0  # natural log-odds of a form
+MOST_EXCEPTION_WEIGHT = 0.0  # natural log-odds of an exception: no likelier in a toxic text than in a clean one
+LEAST_EVIDENCE = 25.0  # likelihood ratio statistic: by chance about one form or phrase in 10^6 has it
+FIT_ROWS = 500_000  # a model is fitted on about so many labelled rows, drawn by a hash; rows scored have no bound
 HITS = "toxic int, n_words int, weight double, phrases array<string>"
 
 
@@ -147,46 +146,63 @@ def _form_counts(rows: DataFrame, forms: frozenset[str] | None) -> DataFrame:
     return rows.select("text").mapInArrow(run, "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
 
 
-def evidence(toxic: int, clean: int, share: float) -> float:
-    """Likelihood ratio statistic of a form's toxic and clean rows against the overall share of toxic rows."""
-    total = toxic + clean
-    parts = ((toxic, total * share), (clean, total * (1 - share)))
-    return 2.0 * sum(n * math.log(n / expected) for n, expected in parts if n)
+def evidence(toxic: Column, clean: Column, share: float) -> Column:
+    """Likelihood ratio statistic of a form's toxic and clean rows (columns) against an overall share of toxic ones."""
 
+    def part(n: Column, expected: float) -> Column:
+        return F.when(n > 0, n * F.log(n / ((toxic + clean) * F.lit(expected)))).otherwise(0.0)
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Learn from all rows whose label is 0 or 1. Without both labels the model scores the share of label 1."""
+    return 2.0 * (part(toxic, share) + part(clean, 1 - share))
+
+
+def fewest(share: float) -> int:
+    """No form with fewer toxic rows has enough evidence, whatever its clean ones are."""
+    return max(LEAST_ROWS, math.ceil(LEAST_EVIDENCE / (-2.0 * math.log(share))))
+
+
+def _log_odds(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    return F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((clean + 0.5) / (n_clean + 1))
+
+
+def learnable(labelled: DataFrame, text_col: str, label_col: str, most_rows: int) -> DataFrame:
+    """text and toxic of the rows labelled 0 or 1; of more than ``most_rows``, a sample of about so many by a hash of the text."""
     kept = labelled.where(F.col(label_col).isin(0, 1))
     rows = kept.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("toxic"))
-    stored = store(rows, "toxicity-labelled")
+    total = rows.count()
+    if total > most_rows:
+        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * most_rows / total))
+    return rows
+
+
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", most_rows: int = FIT_ROWS) -> Model:
+    """Learn from the rows whose label is 0 or 1, beyond ``most_rows`` from a sample of about so many.
+
+    Words, beginnings and exceptions are chosen by one test of evidence against the share of toxic rows, so no form is
+    too rare as such and none is cut off by rank. Without both labels the model scores the share of label 1.
+    """
+    stored = store(learnable(labelled, text_col, label_col, most_rows), "toxicity-labelled")
     rows = stored.df
     sizes = {x["toxic"]: x["count"] for x in rows.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         stored.release()
         return Model({}, frozenset(), (0.0, 0.0), 5.0 if toxic else -5.0)
-    least = max(LEAST_ROWS, math.ceil(LEAST_SHARE * toxic))
-    # at most (forms of a text) / LEAST_SHARE rows come back, whatever the size of the table
-    often = {x["form"]: x["n"] for x in _form_counts(rows.where("toxic = 1"), None).where(F.col("n") >= least).collect()}
-    clean_counts = {x["form"]: x["n"] for x in _form_counts(rows.where("toxic = 0"), frozenset(often)).collect()}
-    weights = {
-        form: math.log((n + 0.5) / (toxic + 1)) - math.log((clean_counts.get(form, 0) + 0.5) / (clean + 1)) for form, n in often.items()
-    }
-    strong = {
-        form: w for form, w in weights.items()
-        if w >= LEAST_WEIGHT and evidence(often[form], clean_counts.get(form, 0), toxic / (toxic + clean)) >= LEAST_EVIDENCE
-    }
+    share = toxic / (toxic + clean)
+    # what comes back to the driver are forms of the bounded sample
+    often = store(_form_counts(rows.where("toxic = 1"), None).where(F.col("n") >= fewest(share)), "toxicity-forms")
+    forms = frozenset(x["form"] for x in often.df.select("form").collect())
+    both = often.df.withColumnRenamed("n", "toxic").join(_form_counts(rows.where("toxic = 0"), forms), "form", "left")
+    both = both.select("form", "toxic", F.coalesce("n", F.lit(0)).alias("clean"))
+    weighed = both.withColumn("weight", _log_odds(F.col("toxic"), F.col("clean"), toxic, clean))
+    proven = weighed.where((F.col("weight") >= LEAST_WEIGHT) & (evidence(F.col("toxic"), F.col("clean"), share) >= LEAST_EVIDENCE))
+    strong = {x["form"]: x["weight"] for x in proven.collect()}
     # a beginning stands for the longer forms under it unless they weigh clearly more
     lexicon = {
         form: w for form, w in strong.items()
         if not any(strong.get(form[:k], -9.0) >= w - 0.5 for k in PREFIX_LENGTHS if k < len(form.rstrip(" ")))
     }
-    matcher = Matcher(lexicon)
-    hits = store(_hits(rows, matcher), "toxicity-hits")
-    phrases = hits.df.select("toxic", F.explode("phrases").alias("phrase"))
-    counted = phrases.groupBy("phrase").agg(F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic"))
-    wrong = counted.where((F.col("clean") >= LEAST_EXCEPTION_ROWS) & (F.col("toxic") == 0))
-    exceptions = frozenset(x["phrase"] for x in wrong.orderBy(F.desc("clean"), "phrase").limit(MAX_EXCEPTIONS).collect())
+    hits = store(_hits(rows, Matcher(lexicon)), "toxicity-hits")
+    exceptions = _exceptions(hits.df, toxic, clean)
     weighed = hits
     if exceptions:
         weighed = store(_hits(rows, Matcher(lexicon, exceptions)), "toxicity-hits")
@@ -196,12 +212,31 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic") -
     shaped = weighed.df.groupBy("toxic", a.alias("a"), b.alias("b")).agg(F.count("*").cast("double").alias("rows"))
     shaped = shaped.select(F.col("toxic").cast("double").alias("label"), "rows", array_to_vector(F.array("a", "b")).alias("features"))
     fitted = LogisticRegression(maxIter=50, regParam=1e-4, weightCol="rows").fit(shaped)
-    for used in {stored, hits, weighed}:
+    for used in {stored, often, hits, weighed}:
         used.release()
     first, second = (float(x) for x in fitted.coefficients)
     return Model(lexicon, exceptions, (first, second), float(fitted.intercept))
 
 
+def _exceptions(hits: DataFrame, toxic: int, clean: int) -> frozenset[str]:
+    """Phrases around matches that are no likelier in toxic texts than in clean ones, by the evidence that forms need.
+
+    Their share is held against that of all phrases around matches; a mislabelled text among many does not undo one.
+    """
+    phrases = hits.select("toxic", F.explode("phrases").alias("phrase"))
+    counted = phrases.groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+    stored = store(counted, "toxicity-phrases")
+    n_toxic, n_clean = stored.df.agg(F.sum("toxic"), F.sum("clean")).first()
+    if not n_toxic or not n_clean:
+        stored.release()
+        return frozenset()
+    light = _log_odds(F.col("toxic"), F.col("clean"), toxic, clean) <= MOST_EXCEPTION_WEIGHT
+    proof = evidence(F.col("toxic"), F.col("clean"), n_toxic / (n_toxic + n_clean)) >= LEAST_EVIDENCE
+    found = frozenset(x["phrase"] for x in stored.df.where(light & proof).select("phrase").collect())
+    stored.release()
+    return found
+
+
 def _hits(rows: DataFrame, matcher: Matcher) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local = built(tuple(sorted(lexicon.items())), exceptions)
