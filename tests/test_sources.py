@@ -1,9 +1,15 @@
+import gzip
+import json
+from collections import Counter
 from types import SimpleNamespace
 
 import pytest
 
 from textree import sources as src
 from textree import storage
+from textree.operators.features import dense_matrix
+from textree.plans import tfidf, tree
+from textree.sources import json as json_source
 
 NASTY = [
     ('He said "hi", then left', "a"),
@@ -101,6 +107,76 @@ def test_runs_take_their_key_from_the_last_folders(spark, tmp_path):
     assert sorted((r["reason"], r["n_records"]) for r in left) == [("path", 1), ("record", 1)]
 
 
+def test_reports_in_any_layout(spark, tmp_path, monkeypatch):
+    report = {"Accuracy": 0.5, "Precision": 0.25, "Execution Time": "12", "Job Time": 60000}
+    texts = {
+        10: json.dumps(report, indent=4),
+        20: "\r\n\r\n" + json.dumps(report, indent=2).replace("\n", "\r\n") + "\r\n",
+        30: json.dumps(report) + "\n" + json.dumps(report),
+        40: json.dumps(report, indent=4)[:-3],
+        50: "  \n",
+        60: json.dumps(report) + "\n" + json.dumps(report, indent=1),
+        70: "".join(json.dumps(report) + "\n" for _ in range(50)),
+    }
+    for width, text in texts.items():
+        file = tmp_path / "runs" / "instances2cores3" / f"result{width}.json"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(text.encode())
+    with gzip.open(tmp_path / "runs" / "instances2cores3" / "result80.json.gz", "wt") as out:
+        out.write(texts[10])
+    for limit in (json_source.REPORT_BYTES, 1000):  # the file of 50 lines is read whole, then line by line
+        monkeypatch.setattr(json_source, "REPORT_BYTES", limit)
+        found = Counter(r["n_columns"] for r in src.read_runs(spark, str(tmp_path / "runs")).collect())
+        assert found == {10: 1, 20: 1, 30: 2, 60: 1, 70: 50}
+        assert all(r["fit_ms"] == 12.0 for r in src.read_runs(spark, str(tmp_path / "runs")).collect())
+        left = {r["path"].rsplit("/", 1)[-1]: (r["reason"], r["n_records"]) for r in src.unread_runs(spark, str(tmp_path / "runs")).collect()}
+        assert left == {"result40.json": ("record", 1), "result60.json": ("record", 6), "result80.json.gz": ("path", 1)}
+
+
+def folders(spark):
+    root = storage.shared_dir(spark)
+    listed = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(spark._jvm.org.apache.hadoop.fs.Path(root))
+    return {f.getPath().getName() for f in listed}
+
+
+def test_scope_owns_what_is_stored_inside(spark):
+    before = folders(spark)
+    with storage.scope() as outer:
+        with storage.scope() as inner:
+            kept, gone = storage.store(spark.range(5), "kept"), storage.store(spark.range(6), "gone")
+            joined = kept.df.join(spark.range(3), "id").groupBy("id").count()
+            inner.keep(joined)
+        assert joined.count() == 3
+        assert not storage_has(spark, gone.path) and storage_has(spark, kept.path)
+    assert folders(spark) == before and not outer.made
+    with pytest.raises(ZeroDivisionError), storage.scope() as failing:
+        failing.keep(storage.store(spark.range(5)).df)
+        1 / 0  # noqa: B018
+    with storage.scope() as alone:
+        alone.keep(storage.store(spark.range(5)).df)
+    assert len(folders(spark) - before) == 1
+    alone.release()
+    assert folders(spark) == before
+
+
+def test_no_folder_is_left_by_plans_in_a_scope(spark):
+    before = folders(spark)
+    docs = spark.createDataFrame([(i, f"apple berry {'cherry ' * (i % 3)} w{i % 7}") for i in range(60)], "id long, title string")
+    rows = spark.createDataFrame([(i, [float(i % 11), float(i % 5)], int(i % 11 > 4)) for i in range(400)], "id long, x array<double>, y int")
+    with storage.scope() as kept:
+        made = tfidf.tfidf_table(docs, "id", "title", limit=0)
+        model = tree.fit(tree_rows(rows), min_side=5)
+        kept.keep(model)
+        assert made.values.count() and tree.rules(model).count()
+    assert model.count() > 1
+    kept.release()
+    assert folders(spark) == before
+
+
+def tree_rows(rows):
+    return dense_matrix(rows.selectExpr("x[0] AS a", "x[1] AS b", "y"), ["a", "b"], "y")
+
+
 class FakeSession:
     def __init__(self, conf, folder, master):
         self.conf = conf

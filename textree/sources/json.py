@@ -31,13 +31,29 @@ RUN_PATH = r"(?:^|[/=])(?:instances(\d+)cores(\d+)|([^/]*sequential))/(?:[^/=]*=
 RUN_FIELDS = "`Accuracy` double, `Precision` double, `Execution Time` string, `Job Time` string, `_corrupt_record` string"
 
 
+#: A larger file holds one record a line; up to this size a record may also be a whole file, laid out over several lines.
+REPORT_BYTES = 1024 * 1024
+
+
 def _run_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    lines = spark.read.option("recursiveFileLookup", True).text(path).filter(F.trim("value") != "")
-    return lines.select(F.input_file_name().alias("path"), F.from_json("value", RUN_FIELDS).alias("run")).select("path", "run.*")
+    """One row per record: a file's lines if one of them is an object by itself, the whole file otherwise."""
+
+    def texts(whole: bool) -> DataFrame:
+        read = spark.read.option("recursiveFileLookup", True).text(path, wholetext=whole)
+        size = F.col("_metadata.file_size")
+        return read.filter(size <= REPORT_BYTES if whole else size > REPORT_BYTES).select(F.col("_metadata.file_path").alias("path"), "value")
+
+    def an_object(line: Column) -> Column:
+        return F.trim(line).startswith("{") & F.try_parse_json(line).isNotNull()
+
+    lines = F.split("value", r"\r?\n")
+    records = F.when(F.exists(lines, an_object), lines).otherwise(F.array("value"))
+    found = texts(True).select("path", F.explode(records).alias("value")).unionByName(texts(False)).filter(F.col("value").rlike(r"\S"))
+    return found.select("path", F.from_json("value", RUN_FIELDS).alias("run")).select("path", "run.*")
 
 
 def read_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per stored report with the key its path holds; sequential runs get (0, 0, n).
+    """One row per stored report, whatever its layout, with the key its path holds; sequential runs get (0, 0, n).
 
     The key stands in the folder that holds the result, whatever folders lie above. What cannot be read is in
     :func:`unread_runs`.

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,12 +62,79 @@ class Stored:
         delete_path(self.df.sparkSession, self.path)
 
 
+@dataclass
+class Scope:
+    """What was stored while this scope was the innermost open one, by path."""
+
+    made: dict[str, Stored] = field(default_factory=dict)
+    kept: set[str] = field(default_factory=set)
+
+    def keep(self, *frames: DataFrame) -> None:
+        """The tables that ``frames`` read outlive the scope; they pass to the scope around it, if there is one."""
+        read = {path for frame in frames for path in tables_read(frame)}
+        self.kept |= {path for path in self.made if _plain(path) in read}
+
+    def release(self) -> None:
+        """Delete all that is still owned, kept tables included."""
+        for stored in self.made.values():
+            stored.release()
+        self.made.clear()
+
+
+_SCOPE: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scope() -> Iterator[Scope]:
+    """Owns the tables stored inside the ``with`` block and deletes them at its end, but those read by frames given to
+    ``keep``. Those are deleted with the scope around it or by ``release``. A block that fails keeps nothing.
+
+    Frames are lazy: one that is used after the block must be kept.
+    """
+    outer, own = _SCOPE.get(), Scope()
+    token = _SCOPE.set(own)
+    try:
+        yield own
+    except BaseException:
+        own.kept.clear()
+        raise
+    finally:
+        _SCOPE.reset(token)
+        for path in [p for p in own.made if p not in own.kept]:
+            own.made.pop(path).release()
+        if outer is not None:
+            outer.made |= own.made
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and doubled slashes, as plans and settings write it differently."""
+    return "/" + path.split(":", 1)[-1].strip("/")
+
+
+def tables_read(df: DataFrame) -> set[str]:
+    """Folders that the plan of ``df`` reads, without listing their files."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = set()
+    for at in range(leaves.size()):
+        leaf = leaves.apply(at)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths()
+            found |= {_plain(roots.apply(i).toString()) for i in range(roots.size())}
+    return found
+
+
 def store(df: DataFrame, name: str = "stage") -> Stored:
-    """Write ``df`` as parquet and read it back: lineage ends here and survives lost executors."""
+    """Write ``df`` as parquet and read it back: lineage ends here and survives lost executors.
+
+    Inside a ``scope`` the table belongs to it.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return Stored(spark.read.schema(df.schema).parquet(path), path)
+    stored = Stored(spark.read.schema(df.schema).parquet(path), path)
+    if (owner := _SCOPE.get()) is not None:
+        owner.made[path] = stored
+    return stored
 
 
 def spread(scan: DataFrame) -> DataFrame:
