@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.base import FEATURES, LINE_ID, RETURNED_SQL, documents, english_doc, lines, query, table
 from catalog.corpus import KEPT_SQL, STEMMED_SQL
+from textree.ml import TextCleaner, TokenStemmer
 from textree.operators import features as ft
 from textree.plans.tfidf import document_tokens, tfidf_table
+from textree.storage import new_path
 
 SIZE = 500
 WIDE = SIZE
@@ -82,6 +87,39 @@ def tfidf_wide(spark, sf_dir):
     return ft.to_wide(named, docs, [f"term_{i}" for i in range(WIDE)], "doc_id")
 
 
+SHARE = 0.05
+
+
+@query(
+    "ml_pipeline_scores",
+    f"""WITH {STEM_COUNTS_SQL}, freq AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+    total AS (SELECT count(*) AS n FROM documents WHERE trim(text) <> '')
+    SELECT doc_id, term, round(tf * ln((n + 1.0::DOUBLE) / (df + 1.0::DOUBLE)), 6) AS tfidf
+    FROM counts JOIN freq USING (term), total WHERE df >= ceil({SHARE}::DOUBLE * n)""",
+)
+def ml_pipeline_scores(spark, sf_dir):
+    """The text stages as one ``pyspark.ml`` pipeline: fitted, saved, loaded and applied by the loaded model.
+
+    The vocabulary is every stem in a twentieth of the documents, so no tie decides what is in it.
+    """
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    stages = [
+        TextCleaner(inputCol="text", outputCol="cleaned"),
+        Tokenizer(inputCol="cleaned", outputCol="tokens"),
+        StopWordsRemover(inputCol="tokens", outputCol="kept"),
+        TokenStemmer(inputCol="kept", outputCol="stems"),
+        CountVectorizer(inputCol="stems", outputCol="raw", minDF=SHARE),
+        IDF(inputCol="raw", outputCol="features"),
+    ]
+    path = new_path(spark, "ml-pipeline")
+    Pipeline(stages=stages).fit(docs).save(path)
+    model = PipelineModel.load(path)
+    words = F.array(*[F.lit(w) for w in model.stages[4].vocabulary])
+    scored = model.transform(docs).select("doc_id", F.posexplode(vector_to_array("features")).alias("place", "tfidf"), "raw")
+    met = scored.filter(vector_to_array("raw")[F.col("place")] > 0).select("doc_id", words[F.col("place")].alias("term"), F.round("tfidf", 6).alias("tfidf"))
+    return met.filter("term <> ''")
+
+
 @query(
     "embedding_long",
     """SELECT vec_id, CAST(i - 1 AS INTEGER) AS term_idx, CAST(embedding[i] AS DOUBLE) AS value
