@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from textree.llm import grid_order_join, jaccard_join, posting_lists
@@ -101,6 +102,35 @@ def test_prefixes_of_similar_sets_share_the_smaller_number_of_matches():
         asked = min(x[2], y[2])
         assert len(np.intersect1d(x[0][x[1] <= asked], y[0][y[1] <= asked])) >= asked
         assert jaccard_join.profiles_allow(jaccard_join.profile(a), jaccard_join.profile(b), rule.percent)
+        odd_a, odd_b = ([x[0].as_py() for x in jaccard_join.parities(pa.array([jaccard_join.profile(s)]))] for s in (a, b))
+        differ = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(odd_a, odd_b, strict=True))
+        assert differ <= len(a) + len(b) - 2 * both <= (100 - rule.percent) * (len(a) + len(b)) // (100 + rule.percent)
+
+
+def test_parities_tell_unlike_sets_apart_and_pass_over_sets_without_a_profile():
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 2**64, 150, dtype=np.uint64)) for _ in range(2)]
+    words = [x.to_pylist() for x in jaccard_join.parities(pa.array([jaccard_join.profile(s) for s in sets] + [None], pa.binary()))]
+    assert sum(((x[0] ^ x[1]) & (2**64 - 1)).bit_count() for x in words) > 15 * 300 // 185
+    assert [x[2] for x in words] == [None] * 4
+    assert [len(x) for x in jaccard_join.parities(pa.array([], pa.binary()))] == [0] * 4
+
+
+def test_chains_of_near_copies_match_brute_force(spark):
+    """Copies that drift out of each other's reach around a text that is not there: many pairs, few links."""
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(500)}" for _ in range(150)]
+    rows = []
+    for i in range(160):
+        copy = list(base)
+        for _ in range(draw.randrange(1, 5)):
+            copy[draw.randrange(len(copy))] = f"x{draw.randrange(9000)}"
+        rows.append((i, " ".join(copy)))
+    rule = jaccard_join.Rule(4, 85)
+    sets, want, links = plain_links(rows, rule)
+    assert 50 < len(links) < 160 * 159 // 4 and len(set(want.values())) > 10
+    got = jaccard_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rule).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), want[i]) for i, s in sets.items()}
 
 
 def test_jaccard_of_repeated_rows_null_ids_and_nothing(spark):

@@ -8,8 +8,9 @@ first on short profiles that allow every similar pair, then on whole sets.
 
 Links come in rounds, so that groups of near copies are never written out as all pairs: first each document
 against one hub, then, twice, each document outside the main component of a prefix shingle against one drawn from
-inside it, and at last, without any limit, all remaining candidates whose ends are not yet connected. Documents with
-equal sets are one class.
+inside it, and at last, without any limit, all remaining candidates whose ends are not yet connected. There the parities of both
+profiles (256 bits a document) are compared inside the join, so that pairs which differ too much are not written out.
+Documents with equal sets are one class.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ DRAWS = 4  # hubs per token in the later rounds
 EMIT_COST = 1.0  # of one more prefix shingle, next to comparing one shingle in a verification
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SUMMARY = ["kind", "id", "n", "digest", "profile"]
+PARITIES = ["odd0", "odd1", "odd2", "odd3"]
+MET = ["doc", "n", "level", "matches", "component"]
+OTHER = {"doc": "other"} | {x: f"other_{x}" for x in [*MET[1:], *PARITIES]}
 MIXERS = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
 
@@ -90,6 +94,25 @@ def profiles_allow(x: bytes | None, y: bytes | None, percent: int) -> bool:
     return 100 * shared >= percent * union
 
 
+def parities(profiles: pa.Array) -> list[pa.Array]:
+    """Four 64-bit columns: whether each of the 256 counts of a profile is odd. Null where there is no profile."""
+    held = profiles.to_pylist()
+    bits = [np.packbits(np.frombuffer(x or bytes(256), np.uint8) & 1).view(np.int64) for x in held]
+    none = np.array([x is None for x in held], bool)
+    words = np.array(bits, np.int64).reshape(len(held), 4)
+    return [pa.array(words[:, i], pa.int64(), mask=none) for i in range(4)]
+
+
+def _parities_allow(rule: Rule) -> Column:
+    """Sets that are similar enough differ in so few shingles that no more counts can be odd in one and even in the other.
+
+    Each shingle that only one of two sets has turns one parity, so the parities that differ are at most as many.
+    """
+    differ = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(OTHER[x]))) for x in PARITIES), F.lit(0))
+    most = F.expr(f"({100 - rule.percent} * (n + other_n)) div {100 + rule.percent}")
+    return F.coalesce(differ <= most, F.lit(True))
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
@@ -268,13 +291,11 @@ def _best_hub(candidates: DataFrame) -> DataFrame:
     return best.select(F.col("best.a").alias("a"), "b")
 
 
-OTHER = {"doc": "other", "n": "other_n", "level": "other_level", "matches": "other_matches", "component": "other_component"}
 
 
 def _speakers(labelled: DataFrame, salt: int) -> DataFrame:
     """(token, draws, main): of the component with most rows at a token, ``DRAWS`` documents drawn by hash."""
-    fields = ["doc", "n", "level", "matches", "component"]
-    draws = [F.min(F.struct(F.xxhash64("doc", "token", F.lit(salt + i)).alias("draw"), *fields)).alias(f"d{i}") for i in range(DRAWS)]
+    draws = [F.min(F.struct(F.xxhash64("doc", "token", F.lit(salt + i)).alias("draw"), *MET)).alias(f"d{i}") for i in range(DRAWS)]
     by_component = labelled.groupBy("token", "component").agg(F.count("*").alias("rows"), *draws)
     largest = F.max(F.struct("rows", F.col("component").alias("c"), *[f"d{i}" for i in range(DRAWS)])).alias("m")
     main = by_component.groupBy("token").agg(largest)
@@ -288,7 +309,7 @@ def _hub_pairs(labelled: DataFrame, salt: int, rule: Rule) -> DataFrame:
     """
     outside = join_measured(labelled, _speakers(labelled, salt), "token").where("component != main")
     met = outside.select(*labelled.columns, F.explode("draws").alias("hub"))
-    met = met.select(*labelled.columns, *[F.col(f"hub.{old}").alias(new) for old, new in OTHER.items()])
+    met = met.select(*labelled.columns, *[F.col(f"hub.{old}").alias(OTHER[old]) for old in MET])
     return met.where(_may_link(rule)).select(F.col("other").alias("a"), F.col("doc").alias("b")).distinct()
 
 
@@ -300,6 +321,19 @@ def _labelled(rows: DataFrame, named: DataFrame) -> DataFrame:
     return join_measured(labelled, split.where("low < high").select("token"), "token", "left_semi")
 
 
+def _with_parities(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Stored ``rows`` with the parities of their documents' profiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), *parities(batch.column("profile"))], ["doc", *PARITIES])
+
+    wanted = store(rows.select("doc").distinct(), "jaccard-docs").df
+    profiles = join_measured(classes.select(F.col("first").alias("doc"), "profile"), wanted, "doc")
+    odd = store(profiles.mapInArrow(run, "doc long, " + ", ".join(f"{x} long" for x in PARITIES)), "jaccard-parities").df
+    return join_measured(rows, odd, "doc")
+
+
 def _joined(named: Stored, links: Stored) -> Stored:
     """Components of what was connected before and the new links."""
     known = named.df.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -328,7 +362,7 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
 
     fields = F.struct(F.xxhash64("doc").alias("draw"), "doc", "n", "level", "matches")
     hubs = rows.df.groupBy("token").agg(F.min(fields).alias("hub"))
-    named_hubs = hubs.select("token", *[F.col(f"hub.{old}").alias(new) for old, new in OTHER.items() if old != "component"])
+    named_hubs = hubs.select("token", *[F.col(f"hub.{old}").alias(OTHER[old]) for old in MET[:-1]])
     met = join_measured(rows.df, named_hubs, "token").where((F.col("doc") != F.col("other")) & _may_link(rule))
     links = _verified(_best_hub(_plausible(_candidates(met), classes.df, rule)), texts, classes.df, rule)
     named = components(links.df)
@@ -343,9 +377,12 @@ def link_documents(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
             used.release()
 
     # the rest, whole: every candidate whose ends are not connected yet
-    left = store(_labelled(rows.df, named.df), "jaccard-rows")
+    apart = store(_labelled(rows.df, named.df), "jaccard-rows")
+    left = store(_with_parities(apart.df, classes.df), "jaccard-rows")
+    apart.release()
     right = left.df.select("token", *[F.col(old).alias(new) for old, new in OTHER.items()])
-    met = left.df.join(right, "token").where((F.col("doc") < F.col("other")) & (F.col("component") != F.col("other_component")) & _may_link(rule))
+    open_ = (F.col("doc") < F.col("other")) & (F.col("component") != F.col("other_component"))
+    met = left.df.join(right, "token").where(open_ & _may_link(rule) & _parities_allow(rule))
     rest = _verified(_plausible(_candidates(met, rule), classes.df, rule), texts, classes.df, rule)
     done = _joined(named, rest)
 
