@@ -168,6 +168,38 @@ def test_numbering_of_very_large_levels(spark, monkeypatch):
     assert nested(tree) == grow(rows, "abcd", 10, 3)
 
 
+@pytest.mark.parametrize("options", [{"local_nodes": 0}, {"keep_share": 9.0, "keep_cells": 0}], ids=str)
+def test_levels_and_subtrees_give_the_same_table(spark, options):
+    rows = sample_rows(2)
+    matrix = dense_matrix(frame(spark, rows), "abcd")
+    levels, subtrees = (tr.fit(matrix, max_depth=5, min_side=5, gain_digits=10, subtree_cells=cells, **options) for cells in (0, 10_000))
+    assert nested(levels) == grow(rows, "abcd", 5, 5)
+    assert sorted(levels.collect()) == sorted(subtrees.collect())
+
+
+def test_a_deep_tree_of_small_nodes_is_not_a_job_a_level(spark, monkeypatch):
+    """One half is pure; in the other, splits take few rows off at a time."""
+    df = spark.createDataFrame([(float(i), int(i % 7 == 0 or i >= 99)) for i in range(200)], "x double, ground_truth int")
+    found = []
+    real = tr._local_level
+    monkeypatch.setattr(tr, "_local_level", lambda *args: found.append(1) or real(*args))
+    tree = tr.fit(dense_matrix(df, ["x"]), max_depth=40, min_side=1, entropy_stop=0.0, gain_digits=10).collect()
+    deepest = max(r["depth"] for r in tree)
+    assert deepest > 5 and len(found) < deepest / 2
+    assert [r["node_id"] for r in sorted(tree, key=lambda r: r["node_id"])] == list(range(1, len(tree) + 1))
+
+
+def test_subtrees_split_as_levels_do_at_the_edges(spark):
+    """Midpoints that round onto a value, infinite values, ties of features and -0.0."""
+    low = 1.0
+    high = math.nextafter(low, 2)
+    odd = [-0.0, 0.0, low, high, math.nextafter(high, 2), math.inf, -math.inf, 1.7e308]
+    df = spark.createDataFrame([(odd[i % 8], odd[i % 8], float(i % 5), int(i % 8 in (1, 3, 6) or i % 11 == 0)) for i in range(160)], "m double, k double, j double, ground_truth int")
+    matrix = dense_matrix(df, ["m", "k", "j"])
+    levels, subtrees = (tr.fit(matrix, max_depth=4, min_side=2, gain_digits=10, subtree_cells=cells) for cells in (0, 10_000))
+    assert len(levels.collect()) > 5 and sorted(levels.collect(), key=str) == sorted(subtrees.collect(), key=str)
+
+
 def test_pure_and_shallow_roots_are_leaves(spark):
     df = spark.createDataFrame([(float(i), 1) for i in range(300)], "x double, ground_truth int")
     tree = tr.fit(dense_matrix(df, ["x"]))

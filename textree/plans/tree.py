@@ -20,6 +20,7 @@ from textree.functions.numeric import class_entropy, majority
 from textree.operators import split as sp
 from textree.operators.features import Matrix, add_row_id
 from textree.operators.joins import BROADCAST_BYTES, join_small, size_in_bytes
+from textree.operators.subtrees import numbered_splits, subtree_splits
 from textree.storage import Stored, spread, store
 
 ENTROPY_STOP = 0.3
@@ -37,6 +38,8 @@ WALK_LEVELS = 5
 KEEP_SHARE = 0.5
 # Below so many cells a level is built from all its rows: less work than a stored table.
 KEEP_CELLS = 1_000_000
+# Cells of a node whose subtree one task may grow.
+SUBTREE_CELLS = 1_000_000
 
 WINNERS = pa.schema(
     [
@@ -87,8 +90,9 @@ class Level:
     stored: Stored | None
 
 
-def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bool, float]:
-    """Class totals, whether the root is open and the cells of a row, after refusing other labels and NaN features."""
+def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bool, float, bool]:
+    """Class totals, whether the root is open, the cells of a row and whether all rows hold as many values, none of
+    them NULL, after refusing other labels and NaN features."""
     values = "map_values(x)" if sparse else "x"
     found = (
         rows.selectExpr(
@@ -97,6 +101,7 @@ def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bo
             "count_if(y NOT IN (0, 1)) AS bad",
             f"count_if(exists({values}, v -> isnan(v))) AS nan",
             "coalesce(avg(size(x)), 0D) AS cells",
+            f"min(size(x)) = max(size(x)) AND count_if(exists({values}, v -> v IS NULL)) = 0 AS even",
         )
         .selectExpr("*", f"{rule.opens('n0', 'n1', 0)} AS open")
         .first()
@@ -105,7 +110,7 @@ def _check_root(rows: DataFrame, sparse: bool, rule: Rule) -> tuple[int, int, bo
         raise ValueError(f"{found['bad']} rows have a label that is neither 0 nor 1")
     if found["nan"]:
         raise ValueError(f"{found['nan']} rows hold a NaN feature")
-    return found["n0"], found["n1"], found["open"], found["cells"]
+    return found["n0"], found["n1"], found["open"], found["cells"], bool(found["even"])
 
 
 def _store_spread(rows: DataFrame) -> Stored:
@@ -243,6 +248,15 @@ def _stored_level(found: DataFrame, n_nodes: int, next_id: int) -> Level:
     return Level(level.df, seen["n"], seen["n_open"], seen["biggest"], seen["active"], seen["bytes"], [], level)
 
 
+def _subtree_level(rows: DataFrame, nodes: DataFrame, n_nodes: int, names: Sequence[str], depth: int, rule: Rule, next_id: int) -> Level:
+    """All splits below the open nodes of a level, whose rows a task may hold node by node."""
+    inside = join_small(rows, nodes.select("node_id"), ["node_id"], "left_semi", ["salt"], n_nodes * sp.NODE_BYTES)
+    found = store(subtree_splits(inside, names, depth, rule), "subtrees")
+    level = numbered_splits(found.df, next_id)
+    found.release()
+    return Level(level.df, level.df.count(), 0, 0, 0, 0, [], level)
+
+
 def fit(
     matrix: Matrix,
     max_depth: int = 100,
@@ -255,8 +269,9 @@ def fit(
     local_nodes: int = LOCAL_NODES,
     keep_share: float = KEEP_SHARE,
     keep_cells: int = KEEP_CELLS,
+    subtree_cells: int = SUBTREE_CELLS,
 ) -> DataFrame:
-    """Grow the tree: one job per depth for all its nodes.
+    """Grow the tree: one job per depth for all its nodes, until they are small.
 
     Each row carries its features and the node it is in, so no level shuffles rows: only histogram bins
     and one line per node travel. A node becomes a leaf when its entropy is at most ``entropy_stop``, at
@@ -267,6 +282,10 @@ def fit(
     looks at the rows of the smaller child of each split only; the larger child is the difference. Values that hardly
     repeat would make such a histogram as large as the rows, so there (and in levels of fewer than ``keep_cells`` cells)
     every open row is looked at. The tree is the same.
+
+    Once no open node of a dense table has more than ``subtree_cells`` cells, half of all rows or ``max_group`` rows,
+    each is brought to one task, which grows all below it: lopsided splits can make a small node a hundred levels deep,
+    and each would be a job. Without ``gain_digits`` levels stay jobs, as the last bit of a ratio may decide there.
     """
     if min_side < 0:
         raise ValueError("min_side must not be negative")
@@ -274,7 +293,7 @@ def fit(
     spark, names = matrix.rows.sparkSession, matrix.names
     salt = F.monotonically_increasing_id().alias("salt")
     rows_at = _store_spread(matrix.rows.select("y", "x").dropna(subset=["y"]).select("y", "x", salt))
-    n0, n1, is_open, row_cells = _check_root(rows_at.df, matrix.sparse, rule)
+    n0, n1, is_open, row_cells, even = _check_root(rows_at.df, matrix.sparse, rule)
     rows = rows_at.df.withColumn("node_id", F.lit(1).cast("long"))
     root = pa.table({"node_id": [1], "n0": [n0], "n1": [n1]})
     nodes = sp.node_stats(spark.createDataFrame(root), entropy_digits)
@@ -282,7 +301,12 @@ def fit(
     depth, next_id, piled, levels = 0, 2, 0, []
     active, halves, above = n0 + n1, keep_share > 0, None
 
+    by_node = even and not matrix.sparse and gain_digits is not None
+    largest_node = min((n0 + n1) // 2, max_group, subtree_cells // max(1.0, row_cells))
     while n_nodes:
+        if by_node and biggest <= largest_node:
+            levels.append(_subtree_level(rows, nodes, n_nodes, names, depth, rule, next_id))
+            break
         hist, kept, last = level_histogram(rows, nodes, n_nodes, matrix.sparse, above and (above.df, levels[-1])), [], above
         above, halves = None, halves and row_cells * active >= keep_cells
         # a group has no more values than its node has rows, so small nodes need no look
