@@ -107,6 +107,21 @@ def test_runs_take_their_key_from_the_last_folders(spark, tmp_path):
     assert sorted((r["reason"], r["n_records"]) for r in left) == [("path", 1), ("record", 1)]
 
 
+def test_paths_of_runs_are_taken_apart_once_a_file(spark, tmp_path):
+    """Each record went through five patterns on its path and was parsed twice."""
+    folder = tmp_path / "runs" / "instances2cores3" / "result50"
+    folder.mkdir(parents=True)
+    lines = ['{"Accuracy": 0.5, "Precision": 0.25, "Execution Time": "12"}', '{"Accuracy": "no number", "Precision": 0.25}', "{broken"]
+    (folder / "part-0.json").write_text("\n".join(lines * 3) + "\n")
+    found = src.read_runs(spark, str(tmp_path / "runs"))
+    got = sorted(found.select("instances", "cores", "n_columns", "area_under_roc", "area_under_pr").collect(), key=str)
+    assert got == sorted([(2, 3, 50, 0.5, 0.25)] * 3 + [(2, 3, 50, None, 0.25)] * 3, key=str)
+    left = src.unread_runs(spark, str(tmp_path / "runs")).collect()
+    assert [(r["reason"], r["n_records"]) for r in left] == [("record", 3)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "cores(" not in plan and plan.count("from_json(StructField(Accuracy") == 1
+
+
 def test_reports_in_any_layout(spark, tmp_path, monkeypatch):
     report = {"Accuracy": 0.5, "Precision": 0.25, "Execution Time": "12", "Job Time": 60000}
     texts = {
