@@ -107,3 +107,15 @@ def test_take_columns_and_slice(spark):
     assert ft.take_columns(df, 2).columns == ["a", "b", "d"]
     arr = spark.createDataFrame([([5.0, 6.0, 7.0],)], "v array<double>")
     assert ft.slice_array(arr, "v", [0, 2], "s").first()["s"] == [5.0, 7.0]
+
+
+def test_wide_rows_travel_as_entries(spark):
+    """A row of the pivot held a number for every column, in each task that met one of its values."""
+    values = spark.createDataFrame([(1, "b", 0.5), (1, "a", 0.25), (1, "other", 9.0), (2, "b", None), (3, "a", 1.0), (None, "a", 7.0), (1, None, 8.0)], "id int, term string, tfidf double")
+    rows = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (4, 0), (None, 1)], "id int, ground_truth int")
+    wide = ft.to_wide(values, rows, ["a", "b"], "id")
+    assert wide.columns == ["id", "a", "b", "ground_truth"]
+    want = [(1, 0.25, 0.5, 0), (1, 0.25, 0.5, 1), (2, 0.0, 0.0, 1), (4, 0.0, 0.0, 0), (None, 0.0, 0.0, 1)]
+    assert sorted(map(tuple, wide.collect()), key=str) == sorted(want, key=str)
+    assert "pivotfirst" not in wide._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert ft.to_wide(values.unionAll(values), rows, ["a", "b"], "id").count() == 5

@@ -75,17 +75,25 @@ def to_wide(
     value_col: str = "tfidf",
     digits: int | None = 5,
 ) -> DataFrame:
-    """One row per row of ``rows``: id, one column per term (0.0 where absent), the label last."""
-    check_column_names(terms)
-    cell = F.first(value_col)
-    pivoted = values.groupBy(id_col).pivot("term", list(terms)).agg(cell)
-    joined = rows.select(id_col, label_col).join(pivoted, id_col, "left")
+    """One row per row of ``rows``: id, one column per term (0.0 where absent), the label last.
 
-    def filled(term: str) -> Column:
-        value = F.coalesce(F.col(f"`{term}`"), F.lit(0.0))
+    What travels and is held is an entry per value; the columns are spread out only as the result is written.
+    """
+    check_column_names(terms)
+    places = values.sparkSession.createDataFrame(list(enumerate(terms)), "_place int, term string")
+    # one row per column of the result
+    placed = values.select(id_col, "term", value_col).join(F.broadcast(places), "term")
+    cells = placed.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("_place", F.col(value_col).alias("_value")))).alias("_cells"))
+    # one entry a place, as the columns are
+    single = F.filter("_cells", lambda cell, i: (i == 0) | (cell["_place"] != F.get("_cells", i - 1)["_place"]))
+    cells = cells.select(id_col, F.map_from_entries(single).alias("_cells"))
+    joined = rows.select(id_col, label_col).join(cells, id_col, "left")
+
+    def filled(place: int, term: str) -> Column:
+        value = F.coalesce(F.col("_cells")[F.lit(place)], F.lit(0.0))
         return (value if digits is None else F.round(value, digits)).alias(term)
 
-    return joined.select(id_col, *[filled(t) for t in terms], label_col)
+    return joined.select(id_col, *[filled(i, t) for i, t in enumerate(terms)], label_col)
 
 
 def expand_array(
