@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
@@ -12,7 +13,7 @@ from catalog.corpus import KEPT_SQL, STEMMED_SQL
 from textree.ml import TextCleaner, TokenStemmer
 from textree.operators import features as ft
 from textree.plans.tfidf import document_tokens, tfidf_table
-from textree.storage import new_path
+from textree.storage import new_path, store
 
 SIZE = 500
 WIDE = SIZE
@@ -112,12 +113,19 @@ def ml_pipeline_scores(spark, sf_dir):
         IDF(inputCol="raw", outputCol="features"),
     ]
     path = new_path(spark, "ml-pipeline")
-    Pipeline(stages=stages).fit(docs).save(path)
+    # the estimators read the stems, which are made once; on a frame that is not persisted the first would hold all words as objects
+    stems = store(PipelineModel(stages[:4]).transform(docs).select("stems"), "stems")
+    held = stems.df.persist(StorageLevel.DISK_ONLY)
+    fitted = Pipeline(stages=stages[4:]).fit(held)
+    held.unpersist()
+    stems.release()
+    PipelineModel(stages[:4] + fitted.stages).save(path)
     model = PipelineModel.load(path)
     words = F.array(*[F.lit(w) for w in model.stages[4].vocabulary])
-    scored = model.transform(docs).select("doc_id", F.posexplode(vector_to_array("features")).alias("place", "tfidf"), "raw")
-    met = scored.filter(vector_to_array("raw")[F.col("place")] > 0).select("doc_id", words[F.col("place")].alias("term"), F.round("tfidf", 6).alias("tfidf"))
-    return met.filter("term <> ''")
+    # both vectors become arrays once a document, not once a place of the vocabulary
+    places = F.arrays_zip(words.alias("term"), vector_to_array("raw").alias("raw"), vector_to_array("features").alias("tfidf"))
+    met = model.transform(docs).select("doc_id", F.inline(F.filter(places, lambda p: p["raw"] > 0)))
+    return met.filter("term <> ''").select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
 @query(

@@ -48,3 +48,19 @@ def test_a_fitted_pipeline_is_saved_whole(spark, tmp_path):
     want = sorted(map(tuple, fitted.transform(df).collect()))
     assert sorted(map(tuple, loaded.transform(df).collect())) == want
     assert TextCleaner().setInputCol("x").setOutputCol("y").getOutputCol() == "y"
+
+
+def test_scores_are_fitted_on_stored_stems(spark, tmp_path, monkeypatch):
+    """On a frame that is not persisted the vectorizer holds every word as an object, and stems were made three times."""
+    from pyspark.ml.feature import CountVectorizer
+
+    from catalog.base import QUERIES
+
+    rows = [(i, f"Running runs apple {'berry' if i % 2 else 'cherries'} of {i}", "en") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    seen, real = [], CountVectorizer._fit
+    monkeypatch.setattr(CountVectorizer, "_fit", lambda self, df: seen.append((df.columns, df.storageLevel.useDisk, df.storageLevel.useMemory)) or real(self, df))
+    got = QUERIES["ml_pipeline_scores"](spark, str(tmp_path)).collect()
+    assert seen == [(["stems"], True, False)]
+    assert {(r["term"], r["doc_id"] % 2) for r in got} == {("run", 0), ("run", 1), ("appl", 0), ("appl", 1), ("berri", 1), ("cherri", 0)}
+    assert len(got) == 40 * 3

@@ -49,11 +49,22 @@ def _longest_first(suffixes) -> list[str]:
 
 
 def _rules(word: Column, suffixes, then: Callable[[str], Column]) -> Column:
-    """What ``then`` says about the longest suffix the word has; a word with none stays."""
-    first, *others = _longest_first(suffixes)
-    chosen = F.when(word.endswith(first), then(first))
-    for suffix in others:
-        chosen = chosen.when(word.endswith(suffix), then(suffix))
+    """What ``then`` says about the longest suffix the word has; a word with none stays. Its last letter is looked at first."""
+    by_letter: dict[str, list[str]] = {}
+    for suffix in _longest_first(suffixes):
+        by_letter.setdefault(suffix[-1], []).append(suffix)
+
+    def among(group: list[str]) -> Column:
+        first, *others = group
+        chosen = F.when(word.endswith(first), then(first))
+        for suffix in others:
+            chosen = chosen.when(word.endswith(suffix), then(suffix))
+        return chosen.otherwise(word)
+
+    (letter, group), *others = by_letter.items()
+    chosen = F.when(word.endswith(letter), among(group))
+    for letter, group in others:
+        chosen = chosen.when(word.endswith(letter), among(group))
     return chosen.otherwise(word)
 
 
@@ -135,8 +146,8 @@ def stems(words: Column) -> Column:
     runs without whitespace.
     """
     lowered = F.transform(words, lambda word: F.lower(word))
-    kept = F.transform(lowered, lambda word: F.regexp_replace(word, "^y", "Y"))
+    kept = F.transform(lowered, lambda word: F.when(word.startswith("y"), F.concat(F.lit("Y"), F.substring(word, 2, 2**31 - 1))).otherwise(word))
     for step in STEPS:
         kept = F.transform(kept, step)
-    kept = F.transform(kept, lambda word: F.regexp_replace(word, "^Y", "y"))
+    kept = F.transform(kept, lambda word: F.when(word.startswith("Y"), F.concat(F.lit("y"), F.substring(word, 2, 2**31 - 1))).otherwise(word))
     return F.zip_with(lowered, kept, lambda word, stem: F.when(F.length(word) > 2, stem).otherwise(word))
