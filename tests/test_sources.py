@@ -148,6 +148,35 @@ def test_reports_in_any_layout(spark, tmp_path, monkeypatch):
         assert left == {"result40.json": ("record", 1), "result60.json": ("record", 6), "result80.json.gz": ("path", 1)}
 
 
+def test_the_layout_of_a_report_does_not_hang_on_its_size(spark, tmp_path):
+    """Files beyond 1 MB were read by lines alone, so a large report over several lines was lost."""
+    report = {"Accuracy": 0.5, "Precision": 0.25, "Execution Time": "12", "notes": ["x" * 90] * 15_000}
+    one = json.dumps({"Accuracy": 0.5, "Precision": 0.25, "Execution Time": "12"})
+    texts = {
+        10: json.dumps(report, indent=1),
+        20: json.dumps(report, indent=1)[:-3],
+        30: "{broken\n" * 200_000 + one + "\n",
+        40: json.dumps(report, indent=1).replace("\n", "\r\n"),
+        50: "\ufeff" + one + "\n" + one,
+        60: json.dumps(report),
+    }
+    for width, text in texts.items():
+        folder = tmp_path / "runs" / "instances2cores3"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"result{width}.json").write_bytes(text.encode())
+    assert sum(len(t) > json_source.REPORT_BYTES for t in texts.values()) == 5
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")  # a file in several tasks keeps its order
+    try:
+        rows = src.read_runs(spark, str(tmp_path / "runs")).collect()
+        left = {r["path"].rsplit("/", 1)[-1]: (r["reason"], r["n_records"]) for r in src.unread_runs(spark, str(tmp_path / "runs")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    assert Counter(r["n_columns"] for r in rows) == {10: 1, 30: 1, 40: 1, 50: 2, 60: 1}
+    assert {(r["area_under_roc"], r["fit_ms"]) for r in rows} == {(0.5, 12.0)}
+    assert left == {"result20.json": ("record", 1), "result30.json": ("record", 200_000)}
+
+
 def folders(spark):
     root = storage.shared_dir(spark)
     listed = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(spark._jvm.org.apache.hadoop.fs.Path(root))
