@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from textree.operators import large_nodes
 from textree.operators import split as sp
 from textree.operators.features import dense_matrix, sparse_matrix
 from textree.plans import tree as tr
@@ -200,6 +201,49 @@ def test_subtrees_split_as_levels_do_at_the_edges(spark):
     assert len(levels.collect()) > 5 and sorted(levels.collect(), key=str) == sorted(subtrees.collect(), key=str)
 
 
+@pytest.mark.parametrize("options", [{}, {"max_group": 3}], ids=str)
+def test_tasks_that_hold_ranges_give_the_same_table(spark, monkeypatch, options):
+    """Nodes too large for one task were a job a level; here ranges of a few rows, with values that go over many of them."""
+    nodes = []
+    monkeypatch.setattr(large_nodes, "TASK_ROWS", 300)
+    monkeypatch.setattr(large_nodes, "RANGE_ROWS", 20)
+    monkeypatch.setattr(tr, "large_splits", lambda *args: nodes.append(large_nodes.large_splits(*args)) or nodes[-1])
+    rng = random.Random(12)
+    near = math.nextafter(1.0, 2.0)
+    rows = [(rng.choice([0.0, -0.0, 1.0, near, math.inf]), rng.random(), float(rng.random() < 0.02), rng.randrange(4) / 4, rng.randrange(2)) for _ in range(900)]
+    rows = [(*r[:4], int(r[4] or r[0] == near or r[1] > 0.9)) for r in rows]
+    matrix = dense_matrix(spark.createDataFrame(rows, "a double, b double, c double, d double, ground_truth int"), "abcd")
+    levels, ranges = (tr.fit(matrix, max_depth=12, min_side=3, gain_digits=10, subtree_cells=cells, **options) for cells in (0, 200))
+    assert len(nodes) == 1 and len(nodes[0]) > 5 and max(s["depth"] for s in nodes[0]) > 2
+    assert len(levels.collect()) > 40 and sorted(levels.collect(), key=str) == sorted(ranges.collect(), key=str)
+
+
+def test_lists_that_tasks_cannot_hold_leave_levels_as_jobs(spark, monkeypatch):
+    assert large_nodes.tasks_for(spark, 1_000_000, 4) == 8
+    monkeypatch.setattr(large_nodes, "TASK_BYTES", 1000)
+    assert large_nodes.tasks_for(spark, 1_000_000, 4) == 0
+    matrix = dense_matrix(frame(spark, sample_rows(7)), "abcd")
+    levels, fallback = (tr.fit(matrix, max_depth=4, min_side=5, gain_digits=10, subtree_cells=cells) for cells in (0, 200))
+    assert sorted(levels.collect()) == sorted(fallback.collect())
+
+
+def test_rules_of_a_deep_tree_take_a_join_for_each_doubling(spark, monkeypatch):
+    """A chain of 21 levels took 21 joins."""
+    chain = [(2 * d, 2 * d - 1, d, None, None, None, None, d % 2, d, 0) for d in range(1, 22)]
+    chain += [(2 * d + 1, 2 * d - 1 or None, d, "x", d / 4, 2 * d + 2, 2 * d + 3, None, d, 0) for d in range(21)]
+    chain.append((43, 41, 21, None, None, None, None, 1, 0, 0))
+    chain = [(n, None if n == 1 else up, *rest) for n, up, *rest in chain]
+    tree = spark.createDataFrame(chain, "node_id long, parent_id long, depth int, feature string, split double, left_id long, right_id long, label int, n0 long, n1 long")
+    joins = []
+    real = tr.join_small
+    monkeypatch.setattr(tr, "join_small", lambda *args, **options: joins.append(1) or real(*args, **options))
+    got = {r["node_id"]: r["rule"] for r in tr.rules(tree).collect()}
+    above = [f"x >= {d / 4}" for d in range(21)]
+    assert got == {2 * d: " AND ".join([*above[: d - 1], f"x < {(d - 1) / 4}"]) for d in range(1, 22)} | {43: " AND ".join(above)}
+    assert len(joins) == 6
+    assert tr.rules(tree.filter("node_id = 1").selectExpr("node_id", "parent_id", "0 AS depth", "CAST(NULL AS STRING) AS feature", "split", "left_id", "right_id", "1 AS label", "n0", "n1")).first()["rule"] == ""
+
+
 def test_pure_and_shallow_roots_are_leaves(spark):
     df = spark.createDataFrame([(float(i), 1) for i in range(300)], "x double, ground_truth int")
     tree = tr.fit(dense_matrix(df, ["x"]))

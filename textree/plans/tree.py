@@ -20,7 +20,8 @@ from textree.functions.numeric import class_entropy, majority
 from textree.operators import split as sp
 from textree.operators.features import Matrix, add_row_id
 from textree.operators.joins import BROADCAST_BYTES, join_small, size_in_bytes
-from textree.operators.subtrees import numbered_splits, subtree_splits
+from textree.operators.large_nodes import large_splits, opens, rows_below, tasks_for
+from textree.operators.subtrees import SPLITS, numbered_splits, subtree_splits
 from textree.storage import Stored, spread, store
 
 ENTROPY_STOP = 0.3
@@ -257,6 +258,26 @@ def _subtree_level(rows: DataFrame, nodes: DataFrame, n_nodes: int, names: Seque
     return Level(level.df, level.df.count(), 0, 0, 0, 0, [], level)
 
 
+def _whole_tree(rows: DataFrame, n0: int, n1: int, names: Sequence[str], tasks: int, largest: int, rule: Rule) -> Level:
+    """All splits of the tree: of nodes of over ``largest`` rows by tasks that stay for all levels, below them node by node."""
+    spark = rows.sparkSession
+    splits = large_splits(rows, n0, n1, names, tasks, largest, rule)
+    tops = []
+    for s in splits:
+        for side, counts in enumerate(((s["l0"], s["l1"]), (s["r0"], s["r1"]))):
+            if sum(counts) <= largest and opens(*counts, s["depth"] + 1, rule):
+                tops.append((f"{s['path']}{side}", s["depth"] + 1))
+    tops = dict(enumerate(tops))
+    made = spark.createDataFrame([tuple(s.values()) for s in splits], SPLITS)
+    if tops:
+        below = subtree_splits(rows_below(rows, splits, list(names), tops), names, 0, rule, tops)
+        made = made.unionByName(below)
+    found = store(made, "subtrees")
+    level = numbered_splits(found.df, 2)
+    found.release()
+    return Level(level.df, level.df.count(), 0, 0, 0, 0, [], level)
+
+
 def fit(
     matrix: Matrix,
     max_depth: int = 100,
@@ -283,9 +304,11 @@ def fit(
     repeat would make such a histogram as large as the rows, so there (and in levels of fewer than ``keep_cells`` cells)
     every open row is looked at. The tree is the same.
 
-    Once no open node of a dense table has more than ``subtree_cells`` cells, half of all rows or ``max_group`` rows,
-    each is brought to one task, which grows all below it: lopsided splits can make a small node a hundred levels deep,
-    and each would be a job. Without ``gain_digits`` levels stay jobs, as the last bit of a ratio may decide there.
+    A node of a dense table with at most ``subtree_cells`` cells and half of all rows is brought to one task, which
+    grows all below it: lopsided splits can make a small node a hundred levels deep, and each would be a job. In a table
+    of more cells the nodes above are split by tasks that hold sorted ranges of all features and stay for all levels
+    (``operators/large_nodes.py``); if they cannot hold them, or the table is small, levels are jobs until no open node
+    is larger. Without ``gain_digits`` levels stay jobs, as the last bit of a ratio may decide there.
     """
     if min_side < 0:
         raise ValueError("min_side must not be negative")
@@ -302,7 +325,11 @@ def fit(
     active, halves, above = n0 + n1, keep_share > 0, None
 
     by_node = even and not matrix.sparse and gain_digits is not None
-    largest_node = min((n0 + n1) // 2, max_group, subtree_cells // max(1.0, row_cells))
+    largest_node = int(min((n0 + n1) // 2, subtree_cells // max(1.0, row_cells)))
+    tasks = tasks_for(spark, n0 + n1, len(names)) if by_node and is_open and 0 < subtree_cells < row_cells * (n0 + n1) else 0
+    if tasks:
+        levels.append(_whole_tree(rows_at.df, n0, n1, names, tasks, largest_node, rule))
+        n_nodes = 0
     while n_nodes:
         if by_node and biggest <= largest_node:
             levels.append(_subtree_level(rows, nodes, n_nodes, names, depth, rule, next_id))
@@ -579,31 +606,31 @@ def predict_matrix(
 
 
 def rules(tree: DataFrame, plan_levels: int = PLAN_LEVELS) -> DataFrame:
-    """One row per leaf: the conditions on its path, its class and its row counts, with true sides."""
+    """One row per leaf: the conditions on its path, its class and its row counts, with true sides.
+
+    A node starts with the condition it hangs on, and with its parent; each join puts before it what its upmost known
+    ancestor has, so paths double in length and a tree of depth 100 takes seven joins. Each is stored, as both sides of
+    the next one read it; ``plan_levels`` stays for callers that set it.
+    """
     deepest = tree.agg(F.max("depth")).first()[0]
-    tree_bytes = size_in_bytes(tree)
-    reached = tree.filter("node_id = 1").withColumn("rule", F.lit(""))
-    done = []
-    for depth in range(deepest + 1):
-        done.append(reached.filter("feature IS NULL"))
-        if depth == deepest:
-            break
-        parents = reached.filter("feature IS NOT NULL").select(
-            F.col("node_id").alias("parent_id"), "feature", "split", "right_id", "rule"
-        )
-        kids = tree.filter(F.col("depth") == depth + 1)
-        sign = F.when(F.col("node_id") == F.col("_right"), F.lit(" >= ")).otherwise(F.lit(" < "))
-        here = F.concat(F.col("_feature"), sign, F.col("_split").cast("string"))
-        above = parents.toDF("parent_id", "_feature", "_split", "_right", "_rule")
-        reached = join_small(kids, above, ["parent_id"], small_bytes=tree_bytes * (depth + 2)).select(
-            *tree.columns, F.concat_ws(" AND ", F.when(F.col("_rule") != "", F.col("_rule")), here).alias("rule")
-        )
-        if (depth + 1) % plan_levels == 0:
-            reached = store(reached, "rules").df
-    leaves = done[0]
-    for part in done[1:]:
-        leaves = leaves.unionByName(part)
-    return leaves.select("node_id", "depth", "rule", "label", "n0", "n1")
+    splits = tree.filter("feature IS NOT NULL").selectExpr("node_id AS up", "feature", "split", "right_id")
+    step = "concat(feature, CASE WHEN node_id = right_id THEN ' >= ' ELSE ' < ' END, CAST(split AS STRING)) AS rule"
+    met = join_small(tree.selectExpr("node_id", "parent_id AS up", "feature IS NULL AS leaf"), splits, ["up"], "left", ["node_id"])
+    paths = store(met.selectExpr("node_id", "up", "leaf", step), "rules")
+    reach, now = 1, paths.df
+    while reach < deepest:
+        # an inner node is an ancestor; a path that has reached the root is joined no more
+        above = now.filter("NOT leaf").selectExpr("node_id AS up", "up AS _up", "rule AS _rule")
+        met = join_small(now.filter("up IS NOT NULL"), above, ["up"], "inner", ["node_id"])
+        longer = met.selectExpr("node_id", "_up AS up", "leaf", "concat_ws(' AND ', _rule, rule) AS rule")
+        now = longer.unionByName(now.filter("up IS NULL"))
+        reach *= 2
+        fresh = store(now, "rules")
+        paths.release()
+        paths = fresh
+        now = paths.df
+    leaves = now.filter("leaf").selectExpr("node_id", "coalesce(rule, '') AS rule")
+    return tree.filter("feature IS NULL").join(leaves, "node_id").select("node_id", "depth", "rule", "label", "n0", "n1")
 
 
 def save(tree: DataFrame, path: str) -> None:
