@@ -201,12 +201,13 @@ def test_subtrees_split_as_levels_do_at_the_edges(spark):
     assert len(levels.collect()) > 5 and sorted(levels.collect(), key=str) == sorted(subtrees.collect(), key=str)
 
 
-@pytest.mark.parametrize("options", [{}, {"max_group": 3}], ids=str)
-def test_tasks_that_hold_ranges_give_the_same_table(spark, monkeypatch, options):
+@pytest.mark.parametrize(("list_rows", "options"), [(0, {}), (0, {"max_group": 3}), (1000, {"max_group": 3})], ids=str)
+def test_tasks_that_hold_ranges_give_the_same_table(spark, monkeypatch, list_rows, options):
     """Nodes too large for one task were a job a level; here ranges of a few rows, with values that go over many of them."""
     nodes = []
     monkeypatch.setattr(large_nodes, "TASK_ROWS", 300)
     monkeypatch.setattr(large_nodes, "RANGE_ROWS", 20)
+    monkeypatch.setattr(large_nodes, "LIST_ROWS", list_rows)
     monkeypatch.setattr(tr, "large_splits", lambda *args: nodes.append(large_nodes.large_splits(*args)) or nodes[-1])
     rng = random.Random(12)
     near = math.nextafter(1.0, 2.0)

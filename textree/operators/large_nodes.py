@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from textree.operators.subtrees import SPLITS, best_split, entropy, midpoints
 from textree.storage import store
 
-# Rows of a range, about.
+# Rows up to which a list is one range: its task needs no word of the others to know what lies left of a value.
+LIST_ROWS = 1_000_000
+# Rows of a range of a longer list, about.
 RANGE_ROWS = 262_144
 # Rows of all lists that are worth a task.
 TASK_ROWS = 50_000
@@ -93,7 +95,7 @@ def sorted_ranges(rows: DataFrame, n_rows: int, n_features: int, tasks: int) ->
     """The lists of all features, one row for each range of one: labels, and for each feature its values that occur
     there and their places, row by row."""
     pieces = max(4 * tasks, -(-n_rows // RANGE_ROWS))
-    bounds = range_bounds(rows, n_features, pieces)
+    bounds = [np.zeros(0)] * n_features if n_rows <= LIST_ROWS else range_bounds(rows, n_features, pieces)
 
     def merged(key: tuple, chunks: pa.Table) -> pa.Table:
         feature = key[0].as_py()
@@ -163,6 +165,8 @@ def _everyones(context: BarrierTaskContext, rows: list, width: int) -> np.ndarra
 
 def _around(told: np.ndarray) -> dict[tuple[int, int, int], dict]:
     """What lies around each range of a node's list: ``before``, ``bin_before`` and ``after`` of ``midpoints``."""
+    if not len(told):
+        return {}
     told = told[np.lexsort((told[:, 2], told[:, 1], told[:, 0]))]
     keys, counts, (first, last) = told[:, :3].astype(int), told[:, 3:5].astype(int), told[:, 5:7].T
     joined = np.append(False, (keys[1:, :2] == keys[:-1, :2]).all(axis=1))  # to the range before, of the same list
@@ -181,13 +185,16 @@ def _around(told: np.ndarray) -> dict[tuple[int, int, int], dict]:
     }
 
 
-def _levels(context: BarrierTaskContext, held: list[Held], n0: int, n1: int, largest: int, rule) -> Iterator[tuple]:
-    """Path, depth, place of the feature, split, l0, l1, r0 and r1 of the splits of all nodes of over ``largest`` rows."""
+def _levels(context: BarrierTaskContext, held: list[Held], n0: int, n1: int, largest: int, whole: bool, rule) -> Iterator[tuple]:
+    """Path, depth, place of the feature, split, l0, l1, r0 and r1 of the splits of all nodes of over ``largest`` rows.
+
+    Spark's barrier takes a second each time it is met, so lists of one range, which need it once a level, do without the other.
+    """
     nodes, depth = {"": (n0, n1)}, 0
     while nodes:
         paths = sorted(nodes)
-        told = _everyones(context, [h.told(i, path) for i, path in enumerate(paths) for h in held if path in h.nodes], 9)
-        around = _around(told)
+        own = [h.told(i, path) for i, path in enumerate(paths) for h in held if path in h.nodes]
+        around = _around(np.array(own).reshape(-1, 9) if whole else _everyones(context, own, 9))
         bests = []
         for i, path in enumerate(paths):
             parts = (
@@ -228,11 +235,11 @@ def opens(n0: int, n1: int, depth: int, rule) -> bool:
 def large_splits(rows: DataFrame, n0: int, n1: int, names: Sequence[str], tasks: int, largest: int, rule) -> list[dict]:
     """The splits of all nodes with more than ``largest`` rows, as rows of ``SPLITS`` below the root."""
     ranges = store(sorted_ranges(rows, n0 + n1, len(names), tasks), "ranges")
-    names = list(names)
+    names, whole = list(names), n0 + n1 <= LIST_ROWS
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
-        made = list(_levels(context, _read_ranges(batches), n0, n1, largest, rule))
+        made = list(_levels(context, _read_ranges(batches), n0, n1, largest, whole, rule))
         if context.partitionId() == 0 and made:  # every task knows all of them
             path, depth, place, *rest = zip(*made, strict=True)
             columns = [[1] * len(made), path, depth, [names[p] for p in place], *rest]
